@@ -4,7 +4,6 @@ from tidemark.functions.columns import (
     day_gap,
     epoch_minutes,
     epoch_seconds,
-    money,
     month_gap,
     month_of,
     percent,
@@ -12,6 +11,8 @@ from tidemark.functions.columns import (
     period_of,
     round_to,
     total_money,
+    total_units,
+    units,
     week_ending_sunday,
     week_of,
 )
@@ -23,7 +24,6 @@ __all__ = [
     "day_gap",
     "epoch_minutes",
     "epoch_seconds",
-    "money",
     "month_gap",
     "month_of",
     "ntile_bucket",
@@ -32,7 +32,9 @@ __all__ = [
     "period_of",
     "round_to",
     "total_money",
+    "total_units",
     "two_sided_p_value",
+    "units",
     "week_ending_sunday",
     "week_of",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans import null_safe_join
@@ -131,9 +131,9 @@ def at_most(name: str, left: DataFrame, right: DataFrame) -> DataFrame:
 
 def _reconciled(name: str, left: DataFrame, right: DataFrame, holds) -> DataFrame:
     a, b = F.col("left_value"), F.col("right_value")
-    only = left.columns[0]
     return (
-        left.select(F.col(only).cast("double").alias("left_value"))
+        left.toDF("only")
+        .select(F.col("only").cast("double").alias("left_value"))
         .withColumn("right_value", right.scalar().cast("double"))
         .select(
             F.lit(name).alias("check_name"),
@@ -169,6 +169,6 @@ def claim_check(claims: DataFrame, metrics: DataFrame, tolerance: float = 0.005)
     )
 
 
-def in_order(df: DataFrame, earlier: str, later: str) -> Column:
+def in_order(df: DataFrame, earlier: str, later: str) -> DataFrame:
     """Number of rows in which ``earlier`` lies after ``later``."""
     return df.agg(F.count_if(F.to_date(earlier) > F.to_date(later)).alias("violations"))

@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import percent, round_to
+from tidemark.functions import percent, round_to, total_units, units
 from tidemark.sources.invoices import clean_purchases
 
 
-def line_value() -> Column:
-    """Quantity times unit price, exact; unit prices may have three decimals."""
-    return (F.col("quantity").cast("decimal(10,0)") * F.col("price").cast("decimal(18,4)")).cast(
-        "decimal(24,4)"
-    )
+def line_units() -> Column:
+    """Quantity times unit price in ten-thousandths; unit prices may have more
+    than two decimals."""
+    return F.col("quantity").cast("long") * units("price", 4)
+
+
+def line_total(kept: Column | None = None) -> Column:
+    """Exact sum of line values, of the ``kept`` lines if given."""
+    value = line_units() if kept is None else F.when(kept, line_units()).otherwise(0)
+    return total_units(value, 4)
 
 
 def customer_revenue(lines: DataFrame) -> DataFrame:
@@ -21,7 +26,7 @@ def customer_revenue(lines: DataFrame) -> DataFrame:
     invoices = (
         clean_purchases(lines)
         .groupBy("customer_id", "invoice")
-        .agg(F.sum(line_value()).alias("revenue"))
+        .agg(line_total().alias("revenue"))
     )
     return invoices.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("revenue").alias("revenue")
@@ -83,9 +88,8 @@ def customer_repeat(lines: DataFrame) -> DataFrame:
 
 def cancel_revenue(lines: DataFrame) -> DataFrame:
     """Value of cancelled lines against all other lines."""
-    zero = F.lit(0).cast("decimal(24,4)")
-    off = F.sum(F.when(F.col("is_cancellation"), line_value()).otherwise(zero))
-    on = F.sum(F.when(~F.col("is_cancellation"), line_value()).otherwise(zero))
+    off = line_total(F.col("is_cancellation"))
+    on = line_total(~F.col("is_cancellation"))
     return lines.agg(
         round_to(off, 0).alias("cancel_revenue"), round_to(on, 0).alias("gross_revenue")
     )

@@ -23,11 +23,12 @@ def _active_days(events: DataFrame, user: str, ts: str) -> DataFrame:
     return events.select(F.col(user).alias("user_id"), day(ts).alias("d")).distinct()
 
 
-def _point_hits(cohorts: DataFrame, active: DataFrame, days) -> DataFrame:
-    """(cohort, n) rows of users seen exactly ``n`` days after signup.
+def _asked_days(cohorts: DataFrame, active: DataFrame, days) -> DataFrame:
+    """One row per user and day N, with ``seen`` set when the user was active
+    exactly N days after signup.
 
-    Each user asks for a few (user, day) pairs, so the semi join runs on the
-    pair the activity is already partitioned by: the events move once.
+    Each user asks for a few (user, day) pairs, so the join runs on the pair the
+    distinct activity is already partitioned by: the events move once.
     """
     asked = cohorts.select(
         "user_id",
@@ -35,11 +36,16 @@ def _point_hits(cohorts: DataFrame, active: DataFrame, days) -> DataFrame:
         F.explode(F.array(*[F.lit(n) for n in days])).alias("n"),
         "signup",
     ).withColumn("d", F.date_add("signup", F.col("n")))
-    return asked.join(active, ["user_id", "d"], "left_semi")
+    seen = active.withColumn("seen", F.lit(True))
+    return asked.join(seen, ["user_id", "d"], "left")
 
 
-def _hit_columns(days):
-    return [F.count_if(F.col("n") == n).alias(f"hit{n}") for n in days]
+def _counts(days):
+    users = F.count_if(F.col("n") == days[0]).alias("users")
+    hits = [
+        F.count_if((F.col("n") == n) & F.col("seen")).alias(f"hit{n}") for n in days
+    ]
+    return [users, *hits]
 
 
 def nday_retention(
@@ -54,23 +60,16 @@ def nday_retention(
     """Share of each signup cohort active on exactly day N; users who never
     came back stay in the denominator. ``grain=None`` gives one overall row."""
     cohorts = _cohorts(users, grain, user, signup)
-    hits = (
-        _point_hits(cohorts, _active_days(events, user, ts), days)
-        .groupBy("cohort")
-        .agg(*_hit_columns(days))
-    )
-    sizes = cohorts.groupBy("cohort").agg(F.count(F.lit(1)).alias("users"))
-    s, h = sizes.alias("s"), hits.alias("h")
+    asked = _asked_days(cohorts, _active_days(events, user, ts), days)
+    key = [] if grain is None else ["cohort"]
     shares = [
         round_to(
-            F.coalesce(F.col(f"h.hit{n}"), F.lit(0)) / F.col("s.users") * 100.0, 2
+            F.col(f"hit{n}") / F.nullif(F.col("users"), F.lit(0)) * 100.0, 2
         ).alias(f"d{n}_retention")
         for n in days
     ]
-    joined = s.join(h, F.col("s.cohort").eqNullSafe(F.col("h.cohort")), "left")
-    if grain is None:
-        return joined.select("s.users", *shares)
-    return joined.select("s.cohort", "s.users", *shares).orderBy("cohort")
+    table = asked.groupBy(*key).agg(*_counts(days)).select(*key, "users", *shares)
+    return table.orderBy(*key) if key else table
 
 
 def rolling_retention(
@@ -91,28 +90,22 @@ def rolling_retention(
     active = _active_days(events, user, ts)
     offset = F.datediff(F.col("d"), F.col("signup"))
     inside = {s: (offset >= s) & (offset < s + width) for s in starts}
-    wanted = F.lit(False)
-    for flag in inside.values():
-        wanted = wanted | flag
     per_user = (
-        cohorts.join(active, "user_id")
-        .where(wanted)
+        cohorts.join(active, "user_id", "left")
         .groupBy("user_id", "cohort")
         .agg(*[F.bool_or(flag).alias(f"w{s}") for s, flag in inside.items()])
     )
-    hits = per_user.groupBy("cohort").agg(
-        *[F.count_if(F.col(f"w{s}")).alias(f"w{s}") for s in starts]
-    )
-    sizes = cohorts.groupBy("cohort").agg(F.count(F.lit(1)).alias("users"))
     return (
-        sizes.join(hits, "cohort", "left")
+        per_user.groupBy("cohort")
+        .agg(
+            F.count(F.lit(1)).alias("users"),
+            *[F.count_if(F.col(f"w{s}")).alias(f"w{s}") for s in starts],
+        )
         .select(
             "cohort",
             "users",
             *[
-                round_to(
-                    F.coalesce(F.col(f"w{s}"), F.lit(0)) / F.col("users") * 100.0, 2
-                ).alias(f"win_{s}d")
+                round_to(F.col(f"w{s}") / F.col("users") * 100.0, 2).alias(f"win_{s}d")
                 for s in starts
             ],
         )
@@ -138,39 +131,25 @@ def censored_retention(
     """
     cohorts = _cohorts(users, grain, user, signup)
     last_day = events.agg(F.max(day(ts))).scalar()
-    hits = (
-        _point_hits(cohorts, _active_days(events, user, ts), days)
-        .groupBy("cohort")
-        .agg(*_hit_columns(days))
-    )
-    sizes = (
-        cohorts.withColumn("_last", last_day)
+    observable = [
+        F.count_if((F.col("n") == n) & (F.col("d") <= F.col("_last"))).alias(f"elig{n}")
+        for n in days
+    ]
+    counted = (
+        _asked_days(cohorts, _active_days(events, user, ts), days)
+        .withColumn("_last", last_day)
         .groupBy("cohort")
-        .agg(
-            F.count(F.lit(1)).alias("users"),
-            *[
-                F.count_if(F.date_add("signup", n) <= F.col("_last")).alias(f"elig{n}")
-                for n in days
-            ],
-        )
+        .agg(*_counts(days), *observable)
     )
     columns = []
     for n in days:
         coverage = F.col(f"elig{n}") / F.col("users")
-        share = (
-            F.coalesce(F.col(f"hit{n}"), F.lit(0))
-            / F.nullif(F.col(f"elig{n}"), F.lit(0))
-            * 100.0
-        )
+        share = F.col(f"hit{n}") / F.nullif(F.col(f"elig{n}"), F.lit(0)) * 100.0
         columns.append(round_to(coverage, 4).alias(f"cov{n}"))
         columns.append(
             round_to(F.when(coverage >= min_coverage, share), 2).alias(f"d{n}")
         )
-    return (
-        sizes.join(hits, "cohort", "left")
-        .select("cohort", "users", *columns)
-        .orderBy("cohort")
-    )
+    return counted.select("cohort", "users", *columns).orderBy("cohort")
 
 
 def censored_means(retention: DataFrame, days=(1, 7, 30)) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from tidemark.functions import (
     period_of,
     round_to,
     total_money,
+    units,
 )
 from tidemark.plans import exact_quantiles, null_safe_join, value_counts
 
@@ -116,7 +119,7 @@ def top_users(
         .select(
             dimension,
             user,
-            F.coalesce("revenue", F.lit(0).cast("decimal(28,2)")).alias("revenue"),
+            F.coalesce("revenue", F.lit(Decimal("0.00"))).alias("revenue"),
         )
     )
     return top_n_per_group(totals, dimension, user, "revenue", n)
@@ -162,9 +165,7 @@ def attribution(
     """
     per_user = orders.groupBy(user).agg(
         total_money(amount).alias("lifetime"),
-        F.min_by(
-            F.col(amount).cast("decimal(18,2)"), F.struct(ts, order_id)
-        ).alias("first"),
+        F.min_by(amount, F.struct(ts, order_id)).alias("first"),
     )
     return (
         users.select(user, by)
@@ -172,7 +173,7 @@ def attribution(
         .groupBy(by)
         .agg(
             round_to(F.sum("lifetime"), 2).alias("lifetime_revenue"),
-            round_to(F.sum("first"), 2).alias("first_touch_revenue"),
+            round_to(total_money("first"), 2).alias("first_touch_revenue"),
         )
         .orderBy(F.desc_nulls_last("lifetime_revenue"), by)
     )
@@ -190,13 +191,16 @@ def pivot_revenue(
     Without ``values`` Spark runs one extra job to find the categories.
     """
     per_month = orders.select(
-        month_of(ts).alias("month"), category, F.col(amount).cast("decimal(18,2)").alias("v")
+        month_of(ts).alias("month"),
+        category,
+        units(amount).cast("decimal(20,0)").alias("_cents"),
     ).groupBy("month")
     wide = (
         per_month.pivot(category, values) if values else per_month.pivot(category)
-    ).agg(F.sum("v"))
+    ).agg(F.sum("_cents"))
     return wide.select(
-        "month", *[as_double(F.col(f"`{c}`")).alias(c) for c in wide.columns[1:]]
+        "month",
+        *[(as_double(F.col(f"`{c}`")) / 100.0).alias(c) for c in wide.columns[1:]],
     ).orderBy("month")
 
 
@@ -211,7 +215,13 @@ def distribution(
     probs = probs or {"median_amount": 0.5, "p90": 0.9, "p99": 0.99}
     counts = value_counts(orders, [by], amount, slices)
     totals = counts.groupBy(by).agg(
-        F.sum(F.col("n") * F.col(amount).cast("decimal(18,2)")).alias("total")
+        # as decimals: a frequent value times its count may exceed a long
+        (
+            F.sum(
+                F.col("n").cast("decimal(18,0)") * units(amount).cast("decimal(18,0)")
+            )
+            * Decimal("0.01")
+        ).alias("total")
     )
     quantiles = exact_quantiles(counts, [by], amount, probs)
     return (

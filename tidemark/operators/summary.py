@@ -137,7 +137,9 @@ def histogram(
     )
     step = (F.col("hi") - F.col("lo")) / bins
     every = bounds.where("lo IS NOT NULL").select(
-        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("long").alias("bin"), "lo", "hi"
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))).alias("bin"),
+        "lo",
+        "hi",
     )
     return (
         every.join(filled, "bin", "left")

@@ -2,8 +2,8 @@
 
 Ranking and exact quantiles read one range-partitioned frame several times and
 need every reading to see the same partition borders, also after an executor
-is lost. The frame is therefore checkpointed to the shared folder the cluster
-names in ``spark.checkpoint.dir``.
+is lost. The frame is therefore written to the shared folder the cluster names
+in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -31,12 +31,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return named or context.getCheckpointDir()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once, in the checkpoint folder."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for a written table, next to the checkpoints."""
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """``df`` written once as a table in the checkpoint folder, and read back.
+
+    Unlike an RDD checkpoint the table is compressed and columnar, so the
+    readings that follow prune columns and skip row groups.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -26,11 +26,11 @@ def _whole(cell: str) -> Column:
 
 
 def _serial_timestamp(cell: str) -> Column:
-    """Spreadsheet serial day as a zone-less UTC timestamp, to the microsecond."""
+    """Spreadsheet serial day as a zone-less UTC timestamp, to the nearest
+    microsecond (a tie goes to the even one)."""
     seconds = (F.col(cell).try_cast("double") - SERIAL_DAY_OF_EPOCH) * SECONDS_PER_DAY
-    return F.to_utc_timestamp(F.timestamp_seconds(seconds), F.current_timezone()).cast(
-        "timestamp_ntz"
-    )
+    instant = F.timestamp_micros(F.rint(seconds * 1e6).cast("long"))
+    return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
 
 
 def clean_invoice_lines(raw: DataFrame) -> DataFrame:

@@ -670,7 +670,7 @@ def _(s, d):
 
 @query("i04_parquet_source")
 def _(s, d):
-    return read_table(s, f"{d}/orders.parquet")
+    return read_table(s, f"{d}/orders.parquet")  # schema from the file
 
 
 @query("i05_csv_source")
@@ -722,6 +722,6 @@ def _(s, d):
         .groupBy("customer_id")
         .agg(
             F.count(F.lit(1)).alias("purchase_lines"),
-            round_to(F.sum(retail.line_value()), 2).alias("revenue"),
+            round_to(retail.line_total(), 2).alias("revenue"),
         )
     )
