@@ -159,6 +159,13 @@ def test_distribution_is_exact(spark, slices):
         assert row["total_revenue"] == round(float(values.sum()), 2)
 
 
+def test_approximate_distribution_is_close(spark):
+    df = spark.range(1, 10001).selectExpr("CAST(id AS DOUBLE) AS amount", "'x' AS product_category")
+    ((_, n, median, p90, p99, total),) = rows(revenue.distribution(df, approximate=1000))
+    assert (n, total) == (10000, 50005000.0)
+    assert abs(median - 5000) <= 20 and abs(p90 - 9000) <= 20 and abs(p99 - 9900) <= 20
+
+
 # ------------------------------------------------------------------- buyers
 
 

@@ -124,29 +124,31 @@ def segment_conversion(
 ) -> DataFrame:
     """Conversion per value of a user dimension, against the overall rate, with
     the ratio of the best to the worst value."""
-    everything = Window.partitionBy()  # one row per value of the dimension
-    rate = F.col("purchasers") / F.col("users") * 100.0
-    overall = (
-        F.sum("purchasers").over(everything) / F.sum("users").over(everything) * 100.0
+    rates = conversion_counts(users, conversions, dim, user).withColumn(
+        "_rate", F.col("purchasers") / F.col("users") * 100.0
     )
+    # a scalar subquery, so that the values of a wide dimension stay spread out
+    whole = rates.agg(
+        F.struct(
+            (F.sum("purchasers") / F.sum("users") * 100.0).alias("rate"),
+            F.max("_rate").alias("best"),
+            F.min("_rate").alias("worst"),
+        )
+    ).scalar()
     return (
-        conversion_counts(users, conversions, dim, user)
-        .withColumn("_rate", rate)
-        .withColumn("_overall", overall)
+        rates.withColumn("_all", whole)
         .select(
             dim,
             "users",
             F.col("purchasers").alias("buyers"),
             round_to("_rate", 2).alias("conv_pct"),
-            round_to("_overall", 2).alias("overall_pct"),
+            round_to("_all.rate", 2).alias("overall_pct"),
             round_to(
-                (F.col("_rate") / F.nullif(F.col("_overall"), F.lit(0.0)) - 1.0) * 100.0,
+                (F.col("_rate") / F.nullif(F.col("_all.rate"), F.lit(0.0)) - 1.0) * 100.0,
                 1,
             ).alias("vs_overall_pct"),
             round_to(
-                F.max("_rate").over(everything)
-                / F.nullif(F.min("_rate").over(everything), F.lit(0.0)),
-                2,
+                F.col("_all.best") / F.nullif(F.col("_all.worst"), F.lit(0.0)), 2
             ).alias("top_bottom_ratio"),
         )
         .orderBy(F.desc("conv_pct"), dim)

@@ -86,7 +86,12 @@ def exact_quantiles(
         ).alias("_positions"),
     ).where(F.size("_positions") > 0)
 
-    numbered = null_safe_join(counts, targets, [*by, "_slice"])
+    # one row per slice at most, so it may be broadcast; the other slices are
+    # dropped before anything is shuffled
+    holding = F.broadcast(targets.select("_slice").distinct())
+    numbered = null_safe_join(
+        counts.join(holding, "_slice", "left_semi"), targets, [*by, "_slice"]
+    )
     running = (
         Window.partitionBy(*by, "_slice")
         .orderBy(column)

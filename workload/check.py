@@ -37,9 +37,8 @@ def normalised(columns, rows):
     )
 
 
-def compare(spark, con, folder: str, name: str):
+def compare(df, con, name: str):
     """None when the results agree, else a description of the first difference."""
-    df = QUERIES[name](spark, folder)
     got = normalised(df.columns, [tuple(r) for r in df.collect()])
     con.execute(oracle_sql()[name])
     columns = [c[0] for c in con.description]
@@ -80,7 +79,7 @@ def main(folder: str, names: list[str]) -> int:
     for name in names or list(QUERIES):
         begun = time.time()
         try:
-            problem = compare(spark, con, folder, name)
+            problem = compare(QUERIES[name](spark, folder), con, name)
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         bad += problem is not None
