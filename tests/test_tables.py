@@ -117,6 +117,15 @@ def test_reconciliation_and_claims(make):
     }
 
 
+def test_children_before_their_parent_are_counted(make):
+    parent = make("k BIGINT, born DATE", [(1, "2024-01-05"), (2, "2024-01-01")])
+    child = make(
+        "k BIGINT, t TIMESTAMP_NTZ",
+        [(1, "2024-01-04"), (1, "2024-01-04 10:00:00"), (1, "2024-01-05"), (2, "2024-01-01")],
+    )
+    assert rows(checks.late_parents(parent, child, "k", "born", "t")) == [(2,)]
+
+
 # ------------------------------------------------------------------ summaries
 
 

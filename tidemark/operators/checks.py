@@ -169,6 +169,19 @@ def claim_check(claims: DataFrame, metrics: DataFrame, tolerance: float = 0.005)
     )
 
 
-def in_order(df: DataFrame, earlier: str, later: str) -> DataFrame:
-    """Number of rows in which ``earlier`` lies after ``later``."""
-    return df.agg(F.count_if(F.to_date(earlier) > F.to_date(later)).alias("violations"))
+def late_parents(
+    parent: DataFrame, child: DataFrame, key: str, earlier: str, later: str
+) -> DataFrame:
+    """One number: child rows dated before their parent (``later`` < ``earlier``).
+
+    Child rows are counted per key and day before the join, so a parent with a
+    third of all children does not fan out.
+    """
+    per_day = child.groupBy(key, F.to_date(later).alias("_later")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    return (
+        per_day.join(parent.select(key, F.to_date(earlier).alias("_earlier")), key)
+        .where(F.col("_earlier") > F.col("_later"))
+        .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations"))
+    )

@@ -81,6 +81,7 @@ def exact_quantiles(
         *by,
         "_slice",
         "_start",
+        F.col("n").alias("_rows"),
         F.filter(
             wanted, lambda p: (p >= F.col("_start")) & (p < F.col("_end"))
         ).alias("_positions"),
@@ -102,6 +103,7 @@ def exact_quantiles(
         .withColumn("_first", F.col("_last") - F.col("n"))
         .select(
             *by,
+            "_rows",
             F.explode(
                 F.filter(
                     "_positions",
@@ -111,16 +113,13 @@ def exact_quantiles(
             F.col(column).cast("double").alias("_value"),
         )
     )
+    # at most two values per probability
     found = picked.groupBy(*by).agg(
+        F.max("_rows").alias("n"),
         F.map_from_entries(F.collect_list(F.struct("_position", "_value"))).alias(
             "_at"
-        )
+        ),
     )
-    sizes = counts.groupBy(*by).agg(F.sum("n").alias("n"))
-    if by:
-        found = null_safe_join(sizes, found, by)
-    else:
-        found = sizes.withColumn("_at", found.scalar())
 
     def interpolate(p: float):
         at = position(p)

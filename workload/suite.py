@@ -354,7 +354,7 @@ def _(s, d):
     paid = revenue.total_money("amount")
     totals = revenue.running_total(orders).agg(F.max("cumulative"))
     buyers = revenue.revenue_per_user(orders).agg(F.count(F.lit(1)))
-    early = users.join(orders, "user_id")
+    late = checks.late_parents(users, orders, "user_id", "signup_date", "order_ts")
     none = orders.agg((F.count(F.lit(1)) * 0).alias("z"))
     orphans = checks.relationships(cancels, subs, "sub_id").agg(F.count(F.lit(1)))
     return checks.reconcile(
@@ -365,9 +365,7 @@ def _(s, d):
                 "buyers_are_distinct_users", buyers, orders.agg(F.countDistinct("user_id"))
             ),
             checks.equal_totals("cancels_have_subs", orphans, none),
-            checks.equal_totals(
-                "signup_before_order", checks.in_order(early, "signup_date", "order_ts"), none
-            ),
+            checks.equal_totals("signup_before_order", late, none),
             checks.equal_totals(
                 "all_orders_are_finished", all_orders.agg(paid), orders.agg(paid)
             ),
