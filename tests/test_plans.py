@@ -5,7 +5,15 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.functions import ntile_bucket, two_sided_p_value
-from tidemark.plans import date_series, dense, exact_quantiles, global_rank, value_counts
+from tidemark.plans import (
+    date_series,
+    dense,
+    exact_quantiles,
+    global_rank,
+    scratch_path,
+    value_counts,
+)
+from tidemark.plans.durable import checkpoint_root
 
 
 @pytest.mark.parametrize("slices", [None, 1, 3, 7])
@@ -94,3 +102,37 @@ def test_p_value_is_close_to_the_exact_normal_tail(spark):
     df = spark.createDataFrame([(z,) for z in zs], "z DOUBLE")
     for z, p in rows(df.select("z", two_sided_p_value(F.col("z")))):
         assert p == pytest.approx(erfc(abs(z) / sqrt(2)), abs=2e-7)
+
+
+class FakeSession:
+    """Only what the choice of the checkpoint folder looks at."""
+
+    def __init__(self, master, named=None, used=None):
+        self.master, self.used, self.named = master, used, named
+        self.conf = self.sparkContext = self
+
+    def get(self, key, default):
+        return self.named or default
+
+    def getCheckpointDir(self):
+        return self.used
+
+    def setCheckpointDir(self, folder):
+        self.used = folder
+
+
+def test_the_named_checkpoint_folder_is_used():
+    session = FakeSession("spark://host", named="hdfs://shared/ck")
+    assert checkpoint_root(session) == "hdfs://shared/ck"
+    assert session.used == "hdfs://shared/ck"
+
+
+def test_a_temporary_folder_is_for_local_mode_only():
+    assert "tidemark-checkpoints" in checkpoint_root(FakeSession("local[4]"))
+    with pytest.raises(RuntimeError):
+        checkpoint_root(FakeSession("spark://host"))
+
+
+def test_scratch_tables_lie_in_the_checkpoint_folder(spark):
+    one, two = scratch_path(spark, "t"), scratch_path(spark, "t")
+    assert one != two and one.startswith(checkpoint_root(spark).rstrip("/"))

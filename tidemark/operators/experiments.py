@@ -193,7 +193,7 @@ def outcome_lift(
         round_to(relative * 100.0, 0).alias("lift_rel_pct"),
         F.when(relative.isNull(), "not enough data")
         .when(relative >= 0, "keep the link")
-        .otherwise("change delivery")
+        .otherwise("change delivery, not the cases")
         .alias("verdict"),
         (relative >= strong_lift).alias("strong"),
     )

@@ -323,7 +323,7 @@ def triangle_matrix(triangle: DataFrame, periods: list[int] | None = None) -> Da
     """The triangle as a cohort by period matrix, zero where nothing was paid."""
     rows = triangle.groupBy("cohort")
     wide = rows.pivot("period", periods) if periods else rows.pivot("period")
-    matrix = wide.agg(F.first("revenue")).fillna(0.0)
+    matrix = wide.agg(F.max("revenue")).fillna(0.0)  # one row per cell
     return matrix.select(
         "cohort", *[F.col(f"`{c}`").alias(f"m{c}") for c in matrix.columns[1:]]
     ).orderBy("cohort")
@@ -333,7 +333,7 @@ def rank_pivot(
     top: DataFrame, group: str, measure: str = "revenue", n: int = 3
 ) -> DataFrame:
     """Top-n rows of each group side by side: rank_1 .. rank_n."""
-    wide = top.groupBy(group).pivot("rnk", list(range(1, n + 1))).agg(F.first(measure))
+    wide = top.groupBy(group).pivot("rnk", list(range(1, n + 1))).agg(F.max(measure))
     return wide.select(
         group, *[F.col(f"`{i}`").alias(f"rank_{i}") for i in range(1, n + 1)]
     ).orderBy(group)

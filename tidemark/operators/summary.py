@@ -153,7 +153,7 @@ def histogram(
     )
 
 
-def unbiased_skewness(column: str, n="n"):
+def unbiased_skewness(column: str):
     """Sample skewness with the small-sample correction (NULL below 3 rows)."""
     count = F.count(column).cast("double")
     factor = F.sqrt(count * (count - 1.0)) / F.nullif(count - 2.0, F.lit(0.0))

@@ -8,7 +8,7 @@ one row per date.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 
@@ -17,7 +17,3 @@ def running_level(at: str, *changes: str) -> list[Column]:
     upto = Window.orderBy(at).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return [F.sum(c).over(upto).alias(c) for c in changes]
 
-
-def changes_by_date(marks: DataFrame, at: str, **totals: Column) -> DataFrame:
-    """Sum the marks falling on each date (partial sums first)."""
-    return marks.groupBy(at).agg(*[c.alias(n) for n, c in totals.items()])
