@@ -36,8 +36,12 @@ def mad_anomalies(
     )
     return (
         series.withColumn("_x", x)
-        .withColumn("_base", F.percentile("_x", 0.5).over(prior))
-        .withColumn("_seen", F.count("_x").over(prior))
+        .withColumns(
+            {
+                "_base": F.percentile("_x", 0.5).over(prior),
+                "_seen": F.count("_x").over(prior),
+            }
+        )
         .withColumn("_off", F.abs(F.col("_x") - F.col("_base")))
         .withColumn("_mad", F.percentile("_off", 0.5).over(prior))
         .where(F.col("_seen") >= min_history)

@@ -66,9 +66,13 @@ def repeat_purchase(
             F.count_if(F.col("orders") >= 4).alias("buyers_4plus_orders"),
         )
         .withColumn("gap", gaps.scalar())
-        .withColumn("repeat_rate_pct", percent("repeat_buyers", "buyers", 1))
-        .withColumn("median_days_between", F.round("gap.median"))
-        .withColumn("p90_days_between", F.round("gap.p90"))
+        .withColumns(
+            {
+                "repeat_rate_pct": percent("repeat_buyers", "buyers", 1),
+                "median_days_between": F.round("gap.median"),
+                "p90_days_between": F.round("gap.p90"),
+            }
+        )
     )
     return long_form(
         buyers,

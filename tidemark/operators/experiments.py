@@ -40,14 +40,9 @@ def _with_z(counts: DataFrame, variant: str, control: str, treatment: str) -> Da
     n0, k0 = of(control, "users"), of(control, "purchasers")
     pooled = (k1 + k0) / (n1 + n0)
     error = F.sqrt(pooled * (1.0 - pooled) * (1.0 / n1 + 1.0 / n0))
-    return (
-        counts.withColumn("p1", k1 / n1)
-        .withColumn("p0", k0 / n0)
-        .withColumn("n1", n1)
-        .withColumn("n0", n0)
-        .withColumn(
-            "z", (F.col("p1") - F.col("p0")) / F.nullif(error, F.lit(0.0))
-        )
+    z = (k1 / n1 - k0 / n0) / F.nullif(error, F.lit(0.0))
+    return counts.withColumns(
+        {"p1": k1 / n1, "p0": k0 / n0, "n1": n1, "n0": n0, "z": z}
     )
 
 
@@ -179,9 +174,12 @@ def outcome_lift(
         F.count_if(~F.col("on")).alias("n_without"),
         F.count_if(~F.col("on") & hit).alias("hits_without"),
     )
-    rated = counts.withColumn(
-        "r1", F.col("hits_with") / F.nullif(F.col("n_with"), F.lit(0))
-    ).withColumn("r0", F.col("hits_without") / F.nullif(F.col("n_without"), F.lit(0)))
+    rated = counts.withColumns(
+        {
+            "r1": F.col("hits_with") / F.nullif(F.col("n_with"), F.lit(0)),
+            "r0": F.col("hits_without") / F.nullif(F.col("n_without"), F.lit(0)),
+        }
+    )
     gap = F.when(F.col("r0") > 0, F.col("r1") - F.col("r0"))
     relative = gap / F.nullif(F.col("r0"), F.lit(0.0))
     return rated.select(

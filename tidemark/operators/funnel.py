@@ -29,12 +29,13 @@ def funnel(
     in_order = Window.orderBy("_place")
     return (
         reached.withColumn("_place", place)
-        .withColumn("pos", F.row_number().over(in_order).cast("long"))
-        .withColumn(
-            "overall_pct", percent("sessions", F.first("sessions").over(in_order))
+        .select(
+            step,
+            "sessions",
+            F.row_number().over(in_order).cast("long").alias("pos"),
+            percent("sessions", F.first("sessions").over(in_order)).alias("overall_pct"),
+            percent("sessions", F.lag("sessions").over(in_order)).alias("step_pct"),
         )
-        .withColumn("step_pct", percent("sessions", F.lag("sessions").over(in_order)))
-        .select(step, "sessions", "pos", "overall_pct", "step_pct")
         .orderBy("pos")
     )
 
@@ -65,11 +66,13 @@ def funnel_drop(
     by_loss = Window.orderBy(F.col("sessions_lost").desc_nulls_last(), "pos")
     known = F.col("sessions_lost").isNotNull()
     return (
-        lost.withColumn("sharpest", (F.row_number().over(by_drop) == 1) & known)
-        .withColumn("_rank", F.row_number().over(by_loss).cast("long"))
-        .withColumn("largest", (F.col("_rank") == 1) & known)
-        .withColumn("loss_rank", F.when(known, F.col("_rank")))
-        .drop("_rank")
+        lost.withColumns(
+            {
+                "sharpest": (F.row_number().over(by_drop) == 1) & known,
+                "largest": (F.row_number().over(by_loss) == 1) & known,
+                "loss_rank": F.when(known, F.row_number().over(by_loss).cast("long")),
+            }
+        )
         .orderBy("pos")
     )
 

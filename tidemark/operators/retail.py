@@ -52,8 +52,12 @@ def repeat_concentration(lines: DataFrame) -> DataFrame:
             F.sum("revenue").alias("total"),
             F.min("orders").alias("_first"),
         )
-        .withColumn("_customers", F.sum("customers").over(everything))
-        .withColumn("_total", F.sum("total").over(everything))
+        .withColumns(
+            {
+                "_customers": F.sum("customers").over(everything),
+                "_total": F.sum("total").over(everything),
+            }
+        )
         .orderBy("_first")
         .select(
             "bucket",

@@ -297,10 +297,13 @@ def revenue_triangle(
     )
     start = F.max(F.when(F.col("period") == 0, F.col("revenue"))).over(cohort)
     return (
-        cells.withColumn("_start", start)
-        .withColumn(
-            "cum_revenue",
-            round_to(F.sum(F.col("revenue").cast("decimal(28,2)")).over(upto), 2),
+        cells.withColumns(
+            {
+                "_start": start,
+                "cum_revenue": round_to(
+                    F.sum(F.col("revenue").cast("decimal(28,2)")).over(upto), 2
+                ),
+            }
         )
         .where(F.col("_start").isNotNull())
         .join(sizes, "cohort")

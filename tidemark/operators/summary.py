@@ -103,8 +103,9 @@ def weekly_resample(orders: DataFrame, ts: str = "order_ts", measure: str = "amo
     previous = F.lag("value").over(by_week)
     return (
         weekly_series(orders, ts, measure)
-        .withColumn("_prev", previous)
-        .withColumn("is_peak", F.row_number().over(by_size) == 1)
+        .withColumns(
+            {"_prev": previous, "is_peak": F.row_number().over(by_size) == 1}
+        )
         .select(
             "week",
             round_to("value", 2).alias("revenue"),
