@@ -231,7 +231,7 @@ def profile_findings(
 
     def finding(frame, level, kind, subject, value, detail):
         return frame.select(
-            F.lit(level).alias("level"),
+            F.lit(level).alias("level"),  # lit() leaves a column as it is
             F.lit(kind).alias("kind"),
             subject.alias("subject"),
             value.cast("double").alias("value"),
@@ -239,36 +239,50 @@ def profile_findings(
         )
 
     nothing = F.lit(None).cast("string")
-    quality = profile_quality(df)
+    # one frame per source, so that no profile is computed twice
+    is_null = (F.col("check_name") == "nulls") & (
+        F.col("share_pct") >= limit["null_share_pct"]
+    )
+    is_copy = (F.col("check_name") == "duplicate_rows") & (
+        F.col("n") > limit["duplicate_rows"]
+    )
     found = [
         finding(
-            quality.where(
-                (F.col("check_name") == "nulls")
-                & (F.col("share_pct") >= limit["null_share_pct"])
-            ),
-            "WARN", "nulls", F.col("column_name"), F.col("share_pct"), nothing,
-        ),
-        finding(
-            quality.where(
-                (F.col("check_name") == "duplicate_rows")
-                & (F.col("n") > limit["duplicate_rows"])
-            ),
-            "WARN", "duplicates", F.lit("rows"), F.col("n"), nothing,
-        ),
+            profile_quality(df).where(is_null | is_copy),
+            "WARN",
+            F.when(is_null, "nulls").otherwise("duplicates"),
+            F.coalesce("column_name", F.lit("rows")),
+            F.when(is_null, F.col("share_pct")).otherwise(F.col("n")),
+            nothing,
+        )
     ]
     if numeric:
-        numbers = profile_numeric(df, numeric)
-        found.append(
-            finding(
-                numbers.where(F.col("outlier_pct") >= limit["outlier_share_pct"]),
-                "WARN", "outliers", F.col("column_name"), F.col("outlier_pct"), nothing,
-            )
+        direction = F.when(F.col("skew") > 0, "right").otherwise("left")
+        reasons = F.array(
+            F.struct(
+                F.lit("WARN").alias("level"),
+                F.lit("outliers").alias("kind"),
+                F.col("outlier_pct").alias("value"),
+                nothing.alias("detail"),
+                (F.col("outlier_pct") >= limit["outlier_share_pct"]).alias("keep"),
+            ),
+            F.struct(
+                F.lit("INFO").alias("level"),
+                F.lit("skew").alias("kind"),
+                F.col("skew").alias("value"),
+                direction.alias("detail"),
+                (F.abs("skew") > limit["skew"]).alias("keep"),
+            ),
         )
+        numbers = profile_numeric(df, numeric).select("column_name", F.inline(reasons))
         found.append(
             finding(
-                numbers.where(F.abs("skew") > limit["skew"]),
-                "INFO", "skew", F.col("column_name"), F.col("skew"),
-                F.when(F.col("skew") > 0, "right").otherwise("left"),
+                numbers.where("keep"),
+                F.col("level"),
+                F.col("kind"),
+                F.col("column_name"),
+                F.col("value"),
+                F.col("detail"),
             )
         )
     if categorical:

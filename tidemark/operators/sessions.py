@@ -39,7 +39,8 @@ def _session_slots(
     per_user = Window.partitionBy("user_id").orderBy("slot")
     silence = F.col("first_ts") - F.lag("last_ts").over(per_user)
     gap = F.expr(f"INTERVAL '{gap_seconds}' SECOND")
-    starts = F.when(silence.isNull() | (silence > gap), 1).otherwise(0)
+    # a user's first slot has no silence before it
+    starts = F.coalesce(silence > gap, F.lit(True)).cast("int")
     return slots.withColumn("starts", starts).withColumn(
         "session_no", F.sum("starts").over(per_user)
     )
