@@ -96,6 +96,39 @@ def test_censored_cohort_is_null_not_zero(make):
     assert means == [(2, 1, 0.0, 50.0)]
 
 
+@quick
+@given(
+    signups=st.lists(st.integers(0, 6), min_size=1, max_size=5),
+    pairs=st.lists(st.tuples(st.integers(0, 4), st.integers(0, 20)), max_size=40),
+)
+def test_retention_equals_brute_force(make, signups, pairs):
+    start = date(2024, 1, 1)
+    users = make(USERS, [(i, str(start + timedelta(days=s))) for i, s in enumerate(signups)])
+    e = acts(make, [(u, str(start + timedelta(days=d))) for u, d in pairs])
+    seen, n = set(pairs), len(signups)
+
+    def share(hits):
+        return pytest.approx(100 * sum(hits) / n, abs=0.0051)
+
+    point = rows(retention.nday_retention(users, e, (1, 5), grain=None))
+    assert point == [
+        (n, *[share((i, s + d) in seen for i, s in enumerate(signups)) for d in (1, 5)])
+    ]
+    rolling = rows(retention.rolling_retention(users, e, (2, 6), 4, grain="year"))
+    assert rolling == [
+        (
+            start,
+            n,
+            *[
+                share(
+                    any((i, s + d + k) in seen for k in range(4)) for i, s in enumerate(signups)
+                )
+                for d in (2, 6)
+            ],
+        )
+    ]
+
+
 # ----------------------------------------------------------------- activity
 
 

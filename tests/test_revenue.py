@@ -4,6 +4,8 @@ from datetime import date
 
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from tests.conftest import by, dicts, rows
 from tidemark.operators import anomalies, customers, revenue, subscriptions
@@ -289,6 +291,37 @@ def test_churn(make):
     ]
 
 
+@settings(
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    lives=st.lists(
+        st.tuples(
+            st.integers(1, 9), st.one_of(st.none(), st.integers(1, 12)), st.integers(100, 9999)
+        ),
+        min_size=1,
+        max_size=25,
+    )
+)
+def test_churn_equals_the_months_by_subscriptions_count(make, lives):
+    subs = make(
+        SUBS,
+        [(i, i, f"2024-{b:02d}-15", "monthly", c / 100) for i, (b, _, c) in enumerate(lives)],
+    )
+    cancels = make(
+        CANCELS, [(i, f"2024-{e:02d}-20") for i, (_, e, _) in enumerate(lives) if e]
+    )
+    got = rows(subscriptions.churn(subs, cancels, "2024-02-01", "2024-11-01"))
+    assert len(got) == 10
+    for row in got:
+        m = row[0].month
+        there = [(e, c) for b, e, c in lives if b < m and (e is None or e >= m)]
+        gone = [c for e, c in there if e == m]
+        assert row[1:3] == (len(there), len(gone))
+        assert row[4] == (pytest.approx(sum(c for _, c in there) / 100) if there else None)
+        assert row[5] == (pytest.approx(sum(gone) / 100) if gone else None)
+
+
 def test_plan_summary(make):
     subs = make(
         SUBS, [(1, 1, "2024-02-10", "monthly", 10.0), (2, 2, "2024-02-10", "monthly", 20.0)]

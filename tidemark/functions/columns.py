@@ -50,7 +50,8 @@ def units(value, scale: int = 2) -> Column:
     """A monetary double as a whole number of cents (or smaller units).
 
     Sums of it are exact, so they do not depend on how rows were partitioned,
-    and the conversion is far cheaper than casting a double to a decimal.
+    and the conversion is far cheaper than casting a double to a decimal. NaN
+    counts as zero.
     """
     return F.floor(_col(value).cast("double") * float(10**scale) + 0.5)
 
