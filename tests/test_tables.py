@@ -277,6 +277,18 @@ def test_cleaning_turns_malformed_cells_into_null(make):
     assert got[2][2:6] == (None, None, 100.0, None)
 
 
+def test_cleaning_ignores_the_session_time_zone(spark, make):
+    # 2:30 on the night clocks went forward in New York
+    sheet = raw(make, ("1", "a", "", "1", "40250.104166666664", "1", "1", "UK"))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert rows(clean_invoice_lines(sheet))[0][3] == datetime(2010, 3, 13, 2, 30)
+        later = raw(make, ("1", "a", "", "1", "40251.104166666664", "1", "1", "UK"))
+        assert rows(clean_invoice_lines(later))[0][3] == datetime(2010, 3, 14, 2, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_union_keeps_duplicates(make):
     sheet = raw(make, ("1", "a", "", "1", "40000", "1", "1", "UK"))
     assert union_sheets(sheet, sheet).count() == 2

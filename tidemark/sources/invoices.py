@@ -29,8 +29,10 @@ def _serial_timestamp(cell: str) -> Column:
     """Spreadsheet serial day as a zone-less UTC timestamp, to the nearest
     microsecond (a tie goes to the even one)."""
     seconds = (F.col(cell).try_cast("double") - SERIAL_DAY_OF_EPOCH) * SECONDS_PER_DAY
-    instant = F.timestamp_micros(F.rint(seconds * 1e6).cast("long"))
-    return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
+    micros = F.rint(seconds * 1e6).cast("long")
+    # plain arithmetic on the zone-less clock: the session time zone plays no part
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.expr("INTERVAL '0.000001' SECOND") * micros
 
 
 def clean_invoice_lines(raw: DataFrame) -> DataFrame:
