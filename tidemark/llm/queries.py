@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from tidemark.llm import quality, setsketch
+from tidemark.llm import cones, quality, setsketch
 
 QUERIES = {}
 
@@ -42,6 +42,11 @@ def _(s, d):
     return quality.divergence_rules(table(s, d, "documents"))
 
 
+@query("op2_spherical_caps")
+def _(s, d):
+    return cones.near_vectors(table(s, d, "embeddings"))
+
+
 @query("op5_setsketch")
 def _(s, d):
     return setsketch.near_duplicates(table(s, d, "documents"))
