@@ -282,9 +282,10 @@ def near_duplicates(
     hubs = _hubs(classes)
     in_hub = durable(_sized(hubs, classes, group_rows, group_shingles))
 
-    texts = (
+    # the list of members grows with the corpus: a merge join at every size
+    texts = durable(
         docs.select(F.col("doc_id").alias("id"), text.alias("text"))
-        .join(in_hub.select("id").distinct(), "id", "left_semi")
+        .join(in_hub.select("id").distinct().hint("merge"), "id", "left_semi")
         .dropDuplicates(["id"])
     )
     dealt = in_hub.select(
