@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from tidemark.llm import cones, quality, setsketch
+from pyspark.sql import functions as F
+
+from tidemark.llm import cones, lines, quality, secrets, setsketch
 
 QUERIES = {}
 
@@ -50,3 +52,29 @@ def _(s, d):
 @query("op5_setsketch")
 def _(s, d):
     return setsketch.near_duplicates(table(s, d, "documents"))
+
+
+@query("op7_line_windows")
+def _(s, d):
+    return lines.remove_repeated_lines(table(s, d, "documents")).select(
+        "doc_id",
+        "n_lines_removed",
+        F.length("text").alias("n_chars_left"),
+        F.md5("text").alias("text_md5"),
+    )
+
+
+@query("op9_secret_spans")
+def _(s, d):
+    found = secrets.find_secrets(table(s, d, "documents"))
+    base = F.filter("spans", lambda x: x["kind"].isin(*secrets.BASE_KINDS))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(count(k).alias(f"n_{k}") for k in secrets.BASE_KINDS),
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+    )
