@@ -6,11 +6,28 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import cones, lines, quality, secrets, setsketch
+from tidemark.llm import (
+    binary,
+    cones,
+    counting,
+    forced,
+    lines,
+    packing,
+    quality,
+    secrets,
+    setsketch,
+)
 
 QUERIES = {}
 
 
+def vocabulary(name: str) -> str:
+    """Where the tokenizer files lie on this box; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name):
     def register(fn):
         def run(spark, sf_dir):
@@ -78,3 +95,53 @@ def _(s, d):
         F.sha2(secrets.joined(base), 256).alias("base_sha256"),
         secrets.joined(F.col("spans")).alias("spans"),
     )
+
+
+@query("op3_best_fit_packing")
+def _(s, d):
+    return packing.best_fit_packing(table(s, d, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
+@query("op4_forced_boundaries")
+def _(s, d):
+    path = vocabulary("word_bpe_49k.json")
+    encoded = forced.encode_documents(table(s, d, "documents"), path)
+    return forced.decode_documents(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op6_edited_counts")
+def _(s, d):
+    """Three edits of each document: its first line goes, 40 characters in the middle
+    become capitals, and a closing line is added."""
+    path = vocabulary("byte_bpe_50k.tiktoken")
+    first = F.coalesce(F.instr("text", "\n"), F.lit(0))
+    length = F.coalesce(F.length("text"), F.lit(0))
+    middle = ((length - first) / 2).cast("int")
+    capitals = F.upper(F.substr(F.coalesce("text", F.lit("")), first + middle + 1, F.lit(40)))
+    edits = F.array(
+        F.struct(F.lit(0).alias("start"), first.alias("end"), F.lit("").alias("text")),
+        F.struct(middle.alias("start"), (middle + 40).alias("end"), capitals.alias("text")),
+        F.struct((length * 2).alias("start"), (length * 2).alias("end"), F.lit("\nThe end.").alias("text")),
+    )
+    planted = counting.with_trees(
+        table(s, d, "documents").select("doc_id", "text", edits.alias("edits")), path
+    ).withColumn("n_tokens_before", counting.tree_total(F.col("tree")))
+    return counting.apply_edits(planted, path).select(
+        "doc_id",
+        "n_tokens_before",
+        counting.tree_total(F.col("tree")).alias("n_tokens_after"),
+        F.length("text").cast("long").alias("n_chars_after"),
+        F.col("n_encoded").alias("n_chars_encoded"),
+    )
+
+
+@query("op8_token_files")
+def _(s, d):
+    folder = binary.token_folder(s)
+    binary.write_token_files(table(s, d, "documents"), folder, vocabulary("byte_bpe_50k.json"))
+    return binary.read_token_files(s, folder)
