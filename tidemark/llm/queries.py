@@ -14,6 +14,7 @@ from tidemark.llm import (
     lines,
     packing,
     quality,
+    rules,
     secrets,
     setsketch,
 )
@@ -145,3 +146,8 @@ def _(s, d):
     folder = binary.token_folder(s)
     binary.write_token_files(table(s, d, "documents"), folder, vocabulary("byte_bpe_50k.json"))
     return binary.read_token_files(s, folder)
+
+
+@query("op10_rule_ensemble")
+def _(s, d):
+    return rules.score_documents(table(s, d, "documents"), table(s, d, "labels"))
