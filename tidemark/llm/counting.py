@@ -13,7 +13,8 @@ usual size the trees are laid out anew from the leaves' sums, still without enco
 
 Defined cases: a null text is an empty one; null edits are none; a range outside
 the text is clipped to it; edits apply in their order, each to the text that those
-before it left; repeated rows each give a row; all other columns are kept.
+before it left; repeated rows each give a row; other columns are kept, but for those named
+tree and n_encoded, which are replaced.
 """
 
 from __future__ import annotations
@@ -200,7 +201,7 @@ def apply_edits(docs: DataFrame, path: str, edits: str = "edits") -> DataFrame:
         return pa.array(out, kind)
 
     done = arrow_udf(run, f"struct<text:string,tree:struct<{TREE}>,n_encoded:bigint>")
-    others = [c for c in docs.columns if c not in ("text", "tree", edits)]
+    others = [c for c in docs.columns if c not in ("text", "tree", "n_encoded", edits)]
     return docs.withColumn("_done", done("text", "tree", edits)).select(*others, "_done.*")
 
 

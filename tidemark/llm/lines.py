@@ -13,7 +13,8 @@ share costs no more than its occurrences.
 Defined cases: a null text stays null and has no lines; texts of fewer than three
 lines have no window and stay as they are; a null doc_id comes before all others;
 rows that share a doc_id are told apart by a hash of their text, and rows equal in
-both count as one occurrence and get the same result. All other columns are kept.
+both count as one occurrence and get the same result. All other columns are kept; one
+named n_lines_removed is replaced.
 """
 
 from __future__ import annotations
@@ -108,6 +109,10 @@ def remove_repeated_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         without(F.col("text"), F.col("_gone"))
     )
     return joined.select(
-        *(cut.alias(c) if c == "text" else F.col(c) for c in docs.columns),
+        *(
+            cut.alias(c) if c == "text" else F.col(c)
+            for c in docs.columns
+            if c != "n_lines_removed"
+        ),
         F.coalesce(F.size("_gone"), F.lit(0)).alias("n_lines_removed"),
     )

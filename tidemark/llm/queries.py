@@ -76,8 +76,8 @@ def _(s, d):
 def _(s, d):
     return lines.remove_repeated_lines(table(s, d, "documents")).select(
         "doc_id",
-        "n_lines_removed",
-        F.length("text").alias("n_chars_left"),
+        F.col("n_lines_removed").cast("long").alias("n_lines_removed"),
+        F.length("text").cast("long").alias("n_chars_left"),
         F.md5("text").alias("text_md5"),
     )
 
