@@ -41,21 +41,31 @@ from tidemark.llm.components import components
 from tidemark.plans import durable
 
 THRESHOLD = 0.9
-CODES, SHARED, LOAD = 16, 1.25, 256
+CODES, SHARED, LOAD = 16, 1.0, 256
+LEAST_BOTH = 0.15
 SLICE = 512  # vectors of one filter that one side of a task holds
 SEED = 20240229
 
 
-def _tail(z: float) -> float:
-    return 0.5 * math.erfc(z / math.sqrt(2))
+def cap_share(cap, dim: int):
+    """Share of random directions at an inner product of ``cap`` or more."""
+    cap = np.clip(cap, -1.0000001, 1.0000001)
+    if dim == 1:
+        return np.where(cap > 1, 0.0, np.where(cap > -1, 0.5, 1.0))
+    angle = (np.arange(20_000) + 0.5) * (math.pi / 20_000)
+    weight = np.sin(angle) ** (dim - 2)
+    sums = np.concatenate([[0.0], np.cumsum(weight)]) / weight.sum()
+    return np.interp(np.arccos(np.clip(cap, -1, 1)), np.linspace(0, math.pi, 20_001), sums)
 
 
-def _both(z: float, cosine: float) -> float:
+def both_share(cap: float, dim: int, cosine: float) -> float:
     """Chance that a vector is in a cap which a vector at that cosine is in."""
-    x = np.linspace(z, z + 6, 2000)
-    weight = np.exp(-x * x / 2)
-    spread = math.sqrt(1 - cosine * cosine)
-    inside = [_tail((z - cosine * v) / spread) for v in x]
+    if dim == 1:
+        return 1.0
+    angle = (np.arange(2000) + 0.5) * (math.acos(cap) / 2000)
+    weight = np.sin(angle) ** (dim - 2)
+    across = math.sqrt(1 - cosine * cosine) * np.sin(angle)
+    inside = cap_share((cap - cosine * np.cos(angle)) / across, dim - 1)
     return float((weight * inside).sum() / weight.sum())
 
 
@@ -63,14 +73,20 @@ def plan(
     n: int, dim: int, cosine: float = THRESHOLD, shared: float = SHARED, load: int = LOAD
 ) -> tuple[int, int, float]:
     """(parts, code words of a part, cap) for n vectors."""
+    caps = np.linspace(0.0, 0.9999, 5000)
+    shares = cap_share(caps, dim)
     share = min(0.05, max(load / max(n, 1), 1e-9))  # of vectors in a filter
-    low, high = 0.0, 7.0
-    for _ in range(60):
-        middle = (low + high) / 2
-        low, high = (middle, high) if _tail(middle) > share else (low, middle)
-    filters = shared / _both(high, cosine) / share
-    parts = min(2 if filters <= 250_000 else 3 if filters <= 3e7 else 4, dim)
-    return parts, max(4, math.ceil(filters ** (1 / parts))), high / math.sqrt(dim)
+    while True:
+        # the narrowest cap with that share; wider if it would part near vectors
+        cap = float(caps[max(np.searchsorted(-shares, -share, "right") - 1, 0)])
+        both = both_share(cap, dim, cosine)
+        if both >= LEAST_BOTH or cap == 0.0:
+            break
+        share *= 1.5
+    filters = shared / max(both, 0.01) / float(cap_share(cap, dim))
+    parts = 2 if filters <= 250_000 else 3 if filters <= 3e7 else 4
+    parts = max(1, min(parts, dim // 2))
+    return parts, max(4, math.ceil(filters ** (1 / parts))), cap
 
 
 class Code:
@@ -164,8 +180,8 @@ def _filters_of(n: int, cosine: float, codes: int, shared: float, load: int):
 
 
 def _first_shared(a: np.ndarray, b: np.ndarray, here: int) -> np.ndarray:
-    """Whether no filter below ``here`` is in both rows; rows ascend, padded by -1 - side."""
-    low_a, low_b = np.where(a < here, a, -1), np.where(b < here, b, -2)
+    """Whether no filter below ``here`` is in both rows, which are padded by -1."""
+    low_a, low_b = np.where(a < here, a, -1), np.where((b < here) & (b >= 0), b, -2)
     out = np.ones(len(a), bool)
     for at in range(0, len(a), 4096):
         part = slice(at, at + 4096)
@@ -285,7 +301,8 @@ def near_vectors(
             F.coalesce("component_id", "class").alias("component_id"),
         )
     )
-    out = rows.join(known, F.col("embedding") == F.col("vector"), "left")
+    same = F.col("vec_id").isNotNull() & (F.col("embedding") == F.col("vector"))
+    out = rows.join(known, same, "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
     return out.select(
         "vec_id",
