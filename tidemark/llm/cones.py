@@ -131,49 +131,58 @@ class Code:
 
 
 
-def units(vectors: list) -> tuple[list[int], list[np.ndarray]]:
-    """Positions and unit vectors of those that can link."""
-    at, out = [], []
-    for i, v in enumerate(vectors):
-        if v is None or not len(v):
-            continue
-        x = np.array(v, dtype=np.float64)  # a null component becomes NaN
-        peak = np.abs(x).max()
-        if not np.isfinite(peak) or peak == 0:
-            continue
-        x = x / peak
-        at.append(i)
-        out.append(x / np.sqrt(x @ x))
-    return at, out
+def units(vectors: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(rows, unit vectors) of the vectors that can link, by length of vector."""
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    offsets = vectors.offsets.to_numpy()
+    flat = vectors.values.to_numpy(zero_copy_only=False).astype(np.float64)  # null: NaN
+    size = np.diff(offsets)
+    size[vectors.is_null().to_numpy(zero_copy_only=False)] = 0
+    out = []
+    for dim in np.unique(size[size > 0]):
+        rows = np.flatnonzero(size == dim)
+        x = flat[offsets[rows][:, None] + np.arange(dim)]
+        peak = np.abs(x).max(axis=1)  # NaN if a component is
+        good = np.isfinite(peak) & (peak > 0)
+        x = x[good] / peak[good, None]
+        out.append((rows[good], x / np.sqrt((x * x).sum(axis=1, keepdims=True))))
+    return out
+
+
+def padded(lists: pa.ChunkedArray) -> np.ndarray:
+    """Lists of filters as rows of a matrix, padded by -1."""
+    lists = lists.combine_chunks()
+    offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    size = np.diff(offsets)
+    out = np.full((len(size), size.max()), -1, np.int64)
+    row = np.repeat(np.arange(len(size)), size)
+    out[row, np.arange(offsets[0], offsets[-1]) - offsets[:-1][row]] = flat[offsets[0] : offsets[-1]]
+    return out
 
 
 def _filters_of(n: int, cosine: float, codes: int, shared: float, load: int):
     made: dict[int, tuple[list[Code], float]] = {}
 
     def find(vectors: pa.Array) -> pa.Array:
-        rows = vectors.to_pylist()
-        at, found = units(rows)
-        lists: list[np.ndarray | None] = [None] * len(rows)
-        by_dim: dict[int, list[int]] = {}
-        for k, x in enumerate(found):
-            by_dim.setdefault(len(x), []).append(k)
-        for dim, ks in by_dim.items():
+        lists: list[np.ndarray | None] = [None] * len(vectors)
+        for rows, x in units(vectors):
+            dim = x.shape[1]
             if dim not in made:
                 parts, words, cap = plan(n, dim, cosine, shared, load)
                 made[dim] = [Code(dim, parts, words, SEED + k) for k in range(codes)], cap
             own, cap = made[dim]
             span = own[0].words ** len(own[0].books)
-            for start in range(0, len(ks), 1024):
-                part = ks[start : start + 1024]
-                x = np.array([found[k] for k in part])
-                pairs = [code.filters(x, cap) for code in own]
+            for start in range(0, len(rows), 1024):
+                part = x[start : start + 1024]
+                pairs = [code.filters(part, cap) for code in own]
                 row = np.concatenate([r for r, _ in pairs])
                 filt = np.concatenate([k * span + f for k, (_, f) in enumerate(pairs)])
                 order = np.lexsort((filt, row))
                 filt = filt[order]
                 cuts = np.searchsorted(row[order], np.arange(len(part) + 1))
-                for j, k in enumerate(part):
-                    lists[at[k]] = filt[cuts[j] : cuts[j + 1]]
+                for j, at in enumerate(rows[start : start + 1024]):
+                    lists[at] = filt[cuts[j] : cuts[j + 1]]
         return pa.array(lists, pa.list_(pa.int64()))
 
     return find
@@ -194,16 +203,10 @@ def _compare(cosine: float):
     def links(table: pa.Table) -> pa.Table:
         here = table.column("filter")[0].as_py()
         left_part, right_part = (table.column(c)[0].as_py() for c in ("i", "j"))
-        part = np.array(table.column("part").to_pylist())
-        ids = np.array(table.column("class").to_pylist(), np.int64)
-        weight = np.array(table.column("weight").to_pylist(), np.int64)
-        _, vectors = units(table.column("embedding").to_pylist())
-        lists = table.column("filters").to_pylist()
-        width = max(map(len, lists))
-        filters = np.full((len(ids), width), -1, np.int64)
-        for k, f in enumerate(lists):
-            filters[k, : len(f)] = f
-        dims = np.array([len(v) for v in vectors])
+        part = table.column("part").to_numpy()
+        ids = table.column("class").to_numpy()
+        weight = table.column("weight").to_numpy()
+        filters = padded(table.column("filters"))
         counts = np.zeros(len(ids), np.int64)
         up = np.arange(len(ids))
         edges = []
@@ -214,13 +217,11 @@ def _compare(cosine: float):
                 i = up[i]
             return i
 
-        for dim in np.unique(dims):
-            left = np.flatnonzero((part == left_part) & (dims == dim))
-            right = np.flatnonzero((part == right_part) & (dims == dim))
+        for rows, unit in units(table.column("embedding")):
+            on_left, on_right = part[rows] == left_part, part[rows] == right_part
+            left, right, x, y = rows[on_left], rows[on_right], unit[on_left], unit[on_right]
             if not len(left) or not len(right):
                 continue
-            x = np.array([vectors[k] for k in left])
-            y = x if left_part == right_part else np.array([vectors[k] for k in right])
             a, b = np.nonzero(x @ y.T >= cosine)
             if left_part == right_part:
                 a, b = a[a < b], b[a < b]
