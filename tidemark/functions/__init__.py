@@ -10,6 +10,7 @@ from tidemark.functions.columns import (
     period_gap,
     period_of,
     round_to,
+    total,
     total_money,
     total_units,
     units,
@@ -31,6 +32,7 @@ __all__ = [
     "period_gap",
     "period_of",
     "round_to",
+    "total",
     "total_money",
     "total_units",
     "two_sided_p_value",

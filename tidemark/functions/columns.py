@@ -50,10 +50,15 @@ def units(value, scale: int = 2) -> Column:
     """A monetary double as a whole number of cents (or smaller units).
 
     Sums of it are exact, so they do not depend on how rows were partitioned,
-    and the conversion is far cheaper than casting a double to a decimal. NaN
-    counts as zero.
+    and the conversion is far cheaper than casting a double to a decimal. A value
+    that has no exact number of such units as a double (NaN, infinite, or 9e15
+    units and more) fails the query: it is not money.
     """
-    return F.floor(_col(value).cast("double") * float(10**scale) + 0.5)
+    x = _col(value).cast("double") * float(10**scale)
+    failed = F.raise_error(
+        F.concat(F.lit(f"not an amount of money with {scale} digits: "), _col(value).cast("string"))
+    ).cast("long")
+    return F.when(x.isNull() | (F.abs(x) < 9e15), F.floor(x + 0.5)).otherwise(failed)
 
 
 def total_units(whole: Column, scale: int = 2) -> Column:
@@ -66,6 +71,15 @@ def total_money(value, scale: int = 2) -> Column:
     return total_units(units(value, scale), scale)
 
 
+def total(value) -> Column:
+    """Sum of a metric that need not be money, as a double; NaN stays visible.
+
+    Thirteen significant digits: what lies below depends on the order of adding.
+    """
+    added = F.sum(_col(value).cast("double"))
+    return F.when(added.isNotNull(), F.format_string("%.12e", added).cast("double"))
+
+
 def as_double(value) -> Column:
     return _col(value).cast("double")
 

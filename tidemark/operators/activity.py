@@ -10,7 +10,12 @@ from tidemark.plans import running_level
 
 
 def _active(events: DataFrame, period, user: str, name: str) -> DataFrame:
-    return events.select(F.col(user).alias("user_id"), period.alias(name)).distinct()
+    """Periods in which users were active; anonymous and undated events are none."""
+    return (
+        events.select(F.col(user).alias("user_id"), period.alias(name))
+        .where(F.col("user_id").isNotNull() & F.col(name).isNotNull())
+        .distinct()
+    )
 
 
 def stickiness(
@@ -24,26 +29,41 @@ def stickiness(
     MAU is an interval sweep: a user active on day d counts on the days from d
     until the window ends or the user's next active day, whichever is earlier,
     so each (user, day) is one +1 and one -1 instead of a join with 28 days.
+    Anonymous events count for no user, but their day is listed; events without
+    a time are left out.
     """
     per_user = Window.partitionBy("user_id").orderBy("d")
-    covered = _active(events, day(ts), user, "d").select(
-        "d",
-        F.least(F.date_add("d", window_days), F.lead("d").over(per_user)).alias("end"),
+    # distinct rows: the anonymous ones are one a day and so a short window
+    covered = (
+        events.select(F.col(user).alias("user_id"), day(ts).alias("d"))
+        .where("d IS NOT NULL")
+        .distinct()
+        .select(
+            "d",
+            F.col("user_id").isNotNull().cast("int").alias("known"),
+            F.least(F.date_add("d", window_days), F.lead("d").over(per_user)).alias("end"),
+        )
     )
     marks = covered.select(
         F.inline(
             F.array(
-                F.struct(F.col("d"), F.lit(1).alias("change")),
-                F.struct(F.col("end").alias("d"), F.lit(-1).alias("change")),
+                F.struct("d", F.col("known").alias("change"), F.lit(True).alias("seen")),
+                F.struct(
+                    F.col("end").alias("d"),
+                    (-F.col("known")).alias("change"),
+                    F.lit(False).alias("seen"),
+                ),
             )
         )
     )
     by_day = marks.groupBy("d").agg(
-        F.count_if(F.col("change") == 1).alias("dau"), F.sum("change").alias("mau")
+        F.count_if(F.col("change") == 1).alias("dau"),
+        F.sum("change").alias("mau"),
+        F.bool_or("seen").alias("seen"),
     )
     return (
-        by_day.select("d", "dau", *running_level("d", "mau"))
-        .where("dau > 0")
+        by_day.select("d", "dau", "seen", *running_level("d", "mau"))
+        .where("seen")
         .select("d", "dau", "mau", percent("dau", "mau").alias("stickiness_pct"))
         .orderBy("d")
     )
@@ -65,8 +85,10 @@ def mask_warmup(sticky: DataFrame, days: int = 28) -> DataFrame:
 def daily_users(
     events: DataFrame, user: str = "user_id", ts: str = "event_time"
 ) -> DataFrame:
+    """Distinct users of every day with an event; anonymous ones are not users."""
     return (
         events.select(F.col(user), day(ts).alias("d"))
+        .where("d IS NOT NULL")
         .groupBy("d")
         .agg(F.countDistinct(user).alias("dau"))
     )
@@ -119,7 +141,8 @@ def lifecycle(
 
     A user-week without activity in the following week is one dormant mark on
     that following week; it shows only if somebody is active then. Active and
-    dormant marks are counted in a single aggregation.
+    dormant marks are counted in a single aggregation. Anonymous and undated
+    events are left out.
     """
     per_user = Window.partitionBy("user_id").orderBy("wk")
     seen = _active(events, week_of(ts), user, "wk").select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
@@ -179,6 +179,17 @@ def attribution(
     )
 
 
+def _listed(column: str, values: list | None) -> Column:
+    """The column; a value that a pivot's list lacks fails the query."""
+    if not values:
+        return F.col(column)
+    known = F.col(column).isin(*values)
+    failed = F.raise_error(
+        F.concat(F.lit(f"{column} not listed: "), F.coalesce(F.col(column).cast("string"), F.lit("NULL")))
+    )
+    return F.when(known, F.col(column)).otherwise(failed.cast("string")).alias(column)
+
+
 def pivot_revenue(
     orders: DataFrame,
     values: list[str] | None = None,
@@ -188,11 +199,12 @@ def pivot_revenue(
 ) -> DataFrame:
     """Month by category revenue; NULL where a category sold nothing.
 
-    Without ``values`` Spark runs one extra job to find the categories.
+    Without ``values`` Spark runs one extra job to find the categories; with them a
+    category not listed fails the query.
     """
     per_month = orders.select(
         month_of(ts).alias("month"),
-        category,
+        _listed(category, values),
         units(amount).cast("decimal(20,0)").alias("_cents"),
     ).groupBy("month")
     wide = (
@@ -323,8 +335,11 @@ def revenue_triangle(
 
 
 def triangle_matrix(triangle: DataFrame, periods: list[int] | None = None) -> DataFrame:
-    """The triangle as a cohort by period matrix, zero where nothing was paid."""
-    rows = triangle.groupBy("cohort")
+    """The triangle as a cohort by period matrix, zero where nothing was paid.
+
+    With ``periods`` a period not listed fails the query; without, all are found.
+    """
+    rows = triangle.select("cohort", _listed("period", periods), "revenue").groupBy("cohort")
     wide = rows.pivot("period", periods) if periods else rows.pivot("period")
     matrix = wide.agg(F.max("revenue")).fillna(0.0)  # one row per cell
     return matrix.select(

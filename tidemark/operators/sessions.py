@@ -32,7 +32,8 @@ def _session_slots(
     if true_id is not None:
         marks += [F.min(true_id).alias("min_id"), F.max(true_id).alias("max_id")]
     slots = (
-        events.withColumn("slot", _slot(ts, gap_seconds))
+        events.where(F.col(ts).isNotNull())
+        .withColumn("slot", _slot(ts, gap_seconds))
         .groupBy(F.col(user).alias("user_id"), "slot")
         .agg(*marks)
     )
@@ -55,14 +56,18 @@ def sessionize(
     """``events`` with ``session_no``, counted from 1 per user.
 
     A new session starts when the silence since the user's previous event
-    exceeds the gap; a silence of exactly the gap continues it.
+    exceeds the gap; a silence of exactly the gap continues it. Anonymous events
+    are taken as one user's. An event without a time belongs to no session: it
+    stays, with a NULL ``session_no``.
     """
     slots = _session_slots(events, gap_seconds, user, ts, None).select(
-        F.col("user_id").alias("_user"), "slot", "session_no"
+        F.col("user_id").alias("_user"),
+        F.col("slot").alias("_slot"),
+        F.col("session_no").alias("_no"),
     )
-    tagged = events.withColumn("slot", _slot(ts, gap_seconds))
-    match = F.col(user).eqNullSafe(F.col("_user")) & (tagged["slot"] == slots["slot"])
-    return tagged.join(slots, match).select(*events.columns, "session_no")
+    match = F.col(user).eqNullSafe(F.col("_user")) & (_slot(ts, gap_seconds) == F.col("_slot"))
+    others = [c for c in events.columns if c != "session_no"]
+    return events.join(slots, match, "left").select(*others, F.col("_no").alias("session_no"))
 
 
 def sessions(
@@ -73,7 +78,8 @@ def sessions(
     true_id: str | None = "session_id",
 ) -> DataFrame:
     """One row per rebuilt session: events, first and last time, duration in
-    minute boundaries, and whether it covers several given session ids."""
+    minute boundaries, and whether it covers several given session ids. Events
+    without a time belong to none."""
     slots = _session_slots(events, gap_seconds, user, ts, true_id)
     folded = [
         F.sum("events").alias("events"),

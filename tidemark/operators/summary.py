@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
-    as_double,
     percent,
     round_to,
-    total_money,
+    total,
     week_ending_sunday,
 )
 from tidemark.plans import dense, exact_quantiles, value_counts
@@ -36,33 +35,35 @@ def metric_by_segment(df: DataFrame, metric: str, segment: str) -> DataFrame:
     """Count, mean, sum, share of the total and distance from the overall mean
     per segment, and the gap between the largest and the smallest mean.
 
-    The overall figures come from a scalar subquery, so segments are never
-    gathered in one task, however many there are.
+    The source is read once; the overall figures come from the segments' rows in one
+    window, so a segment column is one of few values, as in any report by segment.
     """
-    present = df.where(F.col(metric).isNotNull())
-    total = as_double(total_money(metric, 4))
-    per_segment = present.groupBy(segment).agg(
-        F.count(F.lit(1)).alias("n"), total.alias("total")
+    means = (
+        df.where(F.col(metric).isNotNull())
+        .groupBy(segment)
+        .agg(F.count(F.lit(1)).alias("n"), total(metric).alias("total"))
+        .withColumn("_mean", F.col("total") / F.col("n"))
     )
-    overall = present.agg(
-        F.struct(F.count(F.lit(1)).alias("n"), total.alias("total"))
-    ).scalar()
-    means = per_segment.withColumn("_mean", F.col("total") / F.col("n"))
-    gap = means.agg(
-        F.max("_mean") / F.nullif(F.min("_mean"), F.lit(0.0))
-    ).scalar()
-    mean_all = F.col("_overall.total") / F.col("_overall.n")
+    everything = Window.partitionBy()  # one row per segment
     return (
-        means.withColumn("_overall", overall)
-        .withColumn("_gap", gap)
+        means.withColumns(
+            {
+                "_total": F.sum("total").over(everything),
+                "_n": F.sum("n").over(everything),
+                "_gap": F.max("_mean").over(everything)
+                / F.nullif(F.min("_mean").over(everything), F.lit(0.0)),
+            }
+        )
         .select(
             segment,
             "n",
             round_to("_mean", 4).alias("mean"),
             round_to("total", 2).alias("total"),
-            percent("total", "_overall.total", 1).alias("share_pct"),
+            percent("total", "_total", 1).alias("share_pct"),
             round_to(
-                (F.col("_mean") / F.nullif(mean_all, F.lit(0.0)) - 1.0) * 100.0, 1
+                (F.col("_mean") / F.nullif(F.col("_total") / F.col("_n"), F.lit(0.0)) - 1.0)
+                * 100.0,
+                1,
             ).alias("vs_overall_pct"),
             round_to("_gap", 4).alias("gap"),
         )
@@ -84,14 +85,16 @@ def composition(df: DataFrame, row_dim: str, col_dim: str) -> DataFrame:
 def weekly_series(df: DataFrame, ts: str, metric: str | None = None) -> DataFrame:
     """Week (ending Sunday), value and count for every week of the range; weeks
     without rows are zero. Without a metric the value is the count."""
-    total = F.count(F.lit(1)).cast("decimal(28,4)") if metric is None else total_money(metric, 4)
-    weeks = df.groupBy(week_ending_sunday(ts).alias("week")).agg(
-        total.alias("value"), F.count(F.lit(1)).alias("n")
+    value = F.count(F.lit(1)).cast("double") if metric is None else total(metric)
+    weeks = (
+        df.where(F.col(ts).isNotNull())
+        .groupBy(week_ending_sunday(ts).alias("week"))
+        .agg(value.alias("value"), F.count(F.lit(1)).alias("n"))
     )
-    filled = dense(weeks.where(F.col("week").isNotNull()), "week", "week")
+    filled = dense(weeks, "week", "week")
     return filled.select(
         "week",
-        as_double(F.coalesce("value", F.lit(0))).alias("value"),
+        F.coalesce("value", F.lit(0.0)).alias("value"),
         F.coalesce("n", F.lit(0)).cast("long").alias("n"),
     )
 

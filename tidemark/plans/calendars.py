@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 STEPS = {
@@ -25,10 +25,20 @@ def dense(df: DataFrame, column: str, grain: str, until=None) -> DataFrame:
     """``df`` (one row per period) with a row for every period in its range.
 
     ``until`` extends or cuts the calendar; rows of ``df`` outside it are kept
-    by the caller. The calendar has one row per period, whatever the data size.
+    by the caller. ``df`` is read once: gaps are filled from each row to the next.
     """
-    last = F.max(column) if until is None else F.lit(until).cast("date")
-    span = df.agg(F.min(column).alias("lo"), last.alias("hi")).where("lo <= hi")
+    in_order = Window.orderBy(column)  # one row per period
     step = F.expr(STEPS[grain])
-    calendar = span.select(F.explode(F.sequence("lo", "hi", step)).alias(column))
-    return calendar.join(df, column, "left")
+    after = F.lead(column).over(in_order)
+    if until is not None:
+        end = F.lit(until).cast("date")
+        df = df.where(F.col(column) <= end)
+        after = F.coalesce(after, end + step)
+    before_next = (after - step).cast("date")
+    # a period stands for itself and for the empty ones up to the next
+    own = F.sequence(F.col(column), F.coalesce(before_next, F.col(column)), step)
+    rows = df.withColumn("_from", F.col(column)).withColumn("_own", own)
+    others = [c for c in df.columns if c != column]
+    return rows.withColumn(column, F.explode("_own")).select(
+        column, *(F.when(F.col(column) == F.col("_from"), F.col(c)).alias(c) for c in others)
+    )

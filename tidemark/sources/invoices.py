@@ -19,10 +19,11 @@ def union_sheets(*sheets: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), sheets)
 
 
-def _whole(cell: str) -> Column:
-    """A cell as INT; NULL when malformed. Spreadsheets also write 12 as 12.0."""
+def _whole(cell: str, kind: str) -> Column:
+    """A cell as a whole number; NULL when malformed. Spreadsheets also write 12
+    as 12.0; halves go to the even neighbour."""
     number = F.col(cell).try_cast("double")
-    return F.coalesce(F.col(cell).try_cast("int"), F.round(number).try_cast("int"))
+    return F.coalesce(F.col(cell).try_cast(kind), F.rint(number).try_cast(kind))
 
 
 def _serial_timestamp(cell: str) -> Column:
@@ -44,10 +45,10 @@ def clean_invoice_lines(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("Invoice").alias("invoice"),
         F.col("StockCode").alias("stock_code"),
-        _whole("Quantity").alias("quantity"),
+        _whole("Quantity", "int").alias("quantity"),
         _serial_timestamp("InvoiceDate").alias("invoice_ts"),
         F.col("Price").try_cast("double").alias("price"),
-        _whole("Customer ID").alias("customer_id"),
+        _whole("Customer ID", "bigint").alias("customer_id"),
         F.col("Country").alias("country"),
         F.col("Invoice").startswith("C").alias("is_cancellation"),
     )

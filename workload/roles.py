@@ -46,6 +46,16 @@ def events(spark, folder) -> DataFrame:
     )
 
 
+def nullable_events(spark, folder) -> DataFrame:
+    """The same with anonymous and undated events among them."""
+    return events(spark, folder).withColumns(
+        {
+            "user_id": F.when(F.col("event_id") % 97 >= 9, F.col("user_id")),
+            "event_time": F.when(F.col("event_id") % 89 >= 5, F.col("event_time")),
+        }
+    )
+
+
 def _traits(spark, folder) -> DataFrame:
     key = F.col("c_custkey")
     device = F.when(key % 3 == 0, "ios").when(key % 3 == 1, "android").otherwise("web")

@@ -31,7 +31,7 @@ from tidemark.sources import (
     write_table,
 )
 from workload import roles
-from workload.roles import PRIORITIES, STEPS
+from workload.roles import STEPS
 
 # the event tables cover 30 days, so day 28 replaces day 30
 DAYS = (1, 7, 28)
@@ -97,6 +97,11 @@ def _(s, d):
     return activity.stickiness(roles.events(s, d), window_days=7)
 
 
+@query("q04_stickiness_nulls")
+def _(s, d):
+    return activity.stickiness(roles.nullable_events(s, d))
+
+
 @query("q05_ltv_by_cohort")
 def _(s, d):
     return revenue.ltv_by_cohort(roles.customers(s, d), roles.orders(s, d))
@@ -139,7 +144,7 @@ def _(s, d):
 
 @query("q13_pivot_revenue")
 def _(s, d):
-    return revenue.pivot_revenue(roles.orders(s, d), PRIORITIES)
+    return revenue.pivot_revenue(roles.orders(s, d))
 
 
 @query("q14_mrr")
@@ -174,6 +179,23 @@ def _(s, d):
     )
 
 
+@query("q16_sessionize_nulls")
+def _(s, d):
+    return sessions.sessionize(roles.nullable_events(s, d), EIGHT_HOURS).select(
+        "event_id", "user_id", "session_no"
+    )
+
+
+@query("q16_session_metrics_nulls")
+def _(s, d):
+    return sessions.session_metrics(roles.nullable_events(s, d), EIGHT_HOURS)
+
+
+@query("q17_lifecycle_nulls")
+def _(s, d):
+    return activity.lifecycle(roles.nullable_events(s, d))
+
+
 @query("q17_lifecycle")
 def _(s, d):
     return activity.lifecycle(roles.all_orders(s, d), ts="order_ts")
@@ -525,7 +547,7 @@ def _(s, d):
     triangle = revenue.revenue_triangle(
         roles.customers(s, d), roles.orders(s, d), grain="year"
     )
-    return revenue.triangle_matrix(triangle, [0, 1, 2, 3, 4, 5, 6])
+    return revenue.triangle_matrix(triangle)
 
 
 @query("e18_rank_pivot")
