@@ -75,6 +75,9 @@ def test_op4_equals_the_library(spark, which, request):
         ids = lib.encode(r.text or "", add_special_tokens=False).ids
         want[r.doc_id, tuple(ids), lib.decode(ids, skip_special_tokens=False)] += 1
     assert Counter((r.doc_id, tuple(r.ids), r.decoded) for r in got) == want
+    got = forced.round_trip(docs, WORDS).collect()
+    assert Counter((r.doc_id, tuple(r.ids), r.decoded) for r in got) == want
+    assert forced.round_trip(docs.limit(0), WORDS).collect() == []
 
 
 def test_op4_digests(spark, given):

@@ -131,3 +131,27 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
         )
 
     return encoded.withColumn("decoded", arrow_udf(decode, "string")("ids"))
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids, decoded): encoding and decoding in one pass over the texts.
+
+    Two functions in a row would encode twice, as Spark merges them into
+    encode(text) and decode(encode(text)).
+    """
+
+    def both(texts: pa.Array) -> pa.Array:
+        own = _encoder(path)
+        encoded, decoded = [], []
+        for text in binary(texts):
+            ids = own.encode(text.as_py() or b"")
+            encoded.append(ids)
+            decoded.append(own.decode(memoryview(ids).cast("I")))
+        return pa.StructArray.from_arrays(
+            [ids_array(encoded, 4), pa.array(decoded, pa.string())], ["ids", "decoded"]
+        )
+
+    both = arrow_udf(both, "struct<ids:array<int>,decoded:string>")
+    return docs.select("doc_id", both(F.col("text").cast("binary")).alias("t")).select(
+        "doc_id", "t.*"
+    )

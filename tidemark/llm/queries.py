@@ -106,8 +106,7 @@ def _(s, d):
 @query("op4_forced_boundaries")
 def _(s, d):
     path = vocabulary("word_bpe_49k.json")
-    encoded = forced.encode_documents(table(s, d, "documents"), path)
-    return forced.decode_documents(encoded, path).select(
+    return forced.round_trip(table(s, d, "documents"), path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
