@@ -11,16 +11,20 @@ from tidemark.functions import (
     percent,
     round_to,
     total_money,
+    units,
 )
 from tidemark.plans import date_series, dense, running_level
 
 
-def monthly_amount(plan: str = "plan", amount: str = "amount") -> Column:
-    """What a subscription is worth per month: an annual plan a twelfth."""
-    price = F.col(amount)
-    return (
-        F.when(F.col(plan) == "annual", price / 12.0).otherwise(price)
-    ).cast("decimal(18,6)")
+# an annual plan is worth a twelfth of its price a month: counting in twelfths of a
+# cent keeps every sum whole, and the division comes last
+TWELFTHS = 1200.0
+
+
+def monthly_twelfths(plan: str = "plan", amount: str = "amount") -> Column:
+    """What a subscription is worth per month, in twelfths of a cent."""
+    cents = units(amount).cast("decimal(20,0)")
+    return F.when(F.col(plan) == "annual", cents).otherwise(cents * 12).cast("decimal(22,0)")
 
 
 def mrr(
@@ -39,19 +43,21 @@ def mrr(
     """
     end = F.lit(end_month).cast("date")
     starts = subs.groupBy(month_of(started).alias("month")).agg(
-        F.sum(monthly_amount(plan, amount)).alias("mrr"),
+        F.sum(monthly_twelfths(plan, amount)).alias("mrr"),
         F.count(F.lit(1)).alias("active_subs"),
     )
     upto_end = dense(starts, "month", "month", until=end_month).select(
         "month",
-        F.coalesce("mrr", F.lit(0).cast("decimal(28,6)")).alias("mrr"),
+        F.coalesce("mrr", F.lit(0).cast("decimal(38,0)")).alias("mrr"),
         F.coalesce("active_subs", F.lit(0)).alias("active_subs"),
     )
     levels = upto_end.select("month", *running_level("month", "mrr", "active_subs"))
     late = starts.where(F.col("month") > end)
     return (
         levels.unionByName(late)
-        .select("month", round_to("mrr", 2).alias("mrr"), "active_subs")
+        .select(
+            "month", round_to(as_double("mrr") / TWELFTHS, 2).alias("mrr"), "active_subs"
+        )
         .orderBy("month")
     )
 
@@ -78,7 +84,7 @@ def churn(
         subs.select(
             sub_id,
             month_of(started).alias("start_m"),
-            monthly_amount(plan, amount).alias("mrr"),
+            monthly_twelfths(plan, amount).alias("mrr"),
         )
         .join(
             cancels.select(sub_id, month_of(cancelled).alias("cancel_m")),
@@ -102,12 +108,12 @@ def churn(
             )
         )
     ).where("m IS NOT NULL")
-    zero = F.lit(0).cast("decimal(28,6)")
+    zero = F.lit(0).cast("decimal(38,0)")
     by_month = marks.groupBy("m").agg(
         F.sum("level").alias("subs_at_start"),
-        F.sum(F.col("level") * F.col("mrr")).cast("decimal(28,6)").alias("mrr_at_start"),
+        F.sum(F.col("level") * F.col("mrr")).cast("decimal(38,0)").alias("mrr_at_start"),
         F.sum("churned").alias("churned"),
-        F.sum(F.col("churned") * F.col("mrr")).cast("decimal(28,6)").alias("mrr_churned"),
+        F.sum(F.col("churned") * F.col("mrr")).cast("decimal(38,0)").alias("mrr_churned"),
     )
     wanted = date_series(subs.sparkSession, start_month, end_month, "month", "m")
     months = (
@@ -134,8 +140,8 @@ def churn(
         "subs_at_start",
         "churned",
         percent("churned", "subs_at_start", 2).alias("logo_churn_pct"),
-        round_to(at_start, 2).alias("mrr_at_start"),
-        round_to(left, 2).alias("mrr_churned"),
+        round_to(as_double(at_start) / TWELFTHS, 2).alias("mrr_at_start"),
+        round_to(as_double(left) / TWELFTHS, 2).alias("mrr_churned"),
         percent(left, at_start, 2).alias("mrr_churn_pct"),
     ).orderBy("m")
 
