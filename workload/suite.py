@@ -719,6 +719,21 @@ def _(s, d):
     )
 
 
+@query("i06_csv_text")
+def _(s, d):
+    """Names turned into cells with quotes, commas, line breaks and nothing."""
+    name, key = F.col("c_name"), F.col("c_custkey")
+    cell = (
+        F.when(key % 5 == 0, F.concat(F.lit('say "'), name, F.lit('", twice')))
+        .when(key % 5 == 1, F.concat(name, F.lit("\n"), name))
+        .when(key % 5 == 2, "")
+        .when(key % 5 == 3, F.concat(F.lit("  "), name, F.lit(" ")))
+    )
+    path = scratch_path(s, "names-csv")
+    write_table(roles.table(s, d, "customer").select("c_custkey", cell.alias("cell")), path, "csv")
+    return read_table(s, path, "csv", "cell STRING, c_custkey BIGINT", multi_line=True)
+
+
 @query("i07_json_sink")
 def _(s, d):
     path = scratch_path(s, "metrics-json")
