@@ -50,12 +50,12 @@ def test_lift_reads_text_flags_and_skips_pending_rows(make):
         ],
     )
     assert rows(experiments.outcome_lift(log)) == [
-        (2, 50.0, 4, 25.0, 25.0, 100.0, "keep the link", True)
+        (2, 50.0, 4, 25.0, 25.0, 100.0, "positive", True)
     ]
 
 
 def test_lift_is_undefined_for_an_empty_arm_or_a_zero_base(make):
     empty = rows(experiments.outcome_lift(make(LOG, [("yes", "offer")])))
-    assert empty == [(1, 100.0, 0, None, None, None, "not enough data", None)]
+    assert empty == [(1, 100.0, 0, None, None, None, "undefined", None)]
     zero = rows(experiments.outcome_lift(make(LOG, [("yes", "offer"), ("no", "none")])))
-    assert zero == [(1, 100.0, 1, 0.0, None, None, "not enough data", None)]
+    assert zero == [(1, 100.0, 1, 0.0, None, None, "undefined", None)]

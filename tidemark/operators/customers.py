@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
@@ -90,6 +90,30 @@ def repeat_purchase(
     )
 
 
+# The segment of each level of recency and level of spend.
+SEGMENTS = {
+    "high/high": "Champions",
+    "high/middle": "Loyal",
+    "high/low": "Promising",
+    "middle/high": "Big Spenders",
+    "middle/middle": "Regular",
+    "middle/low": "Hibernating",
+    "low/high": "Big Spenders",
+    "low/middle": "At Risk",
+    "low/low": "Hibernating",
+}
+
+
+def _level(score: str, buckets: int) -> Column:
+    """Above, at or below the middle bucket."""
+    middle = (buckets + 1) // 2
+    return (
+        F.when(F.col(score) > middle, "high")
+        .when(F.col(score) == middle, "middle")
+        .otherwise("low")
+    )
+
+
 def rfm(
     orders: DataFrame,
     buckets: int = 5,
@@ -104,15 +128,13 @@ def rfm(
     buckets, ties broken by user id; frequency is scored by value, since most
     buyers order once and a bucket border would fall inside that tie.
     """
-    newest = orders.agg(F.max(day(ts))).scalar()
+    folded = orders.groupBy(F.col(user).alias("user_id")).agg(
+        F.max(day(ts)).alias("_last"),
+        F.count(F.lit(1)).alias("frequency"),
+        total_money(amount).alias("monetary"),
+    )
     buyers = (
-        orders.groupBy(F.col(user).alias("user_id"))
-        .agg(
-            F.max(day(ts)).alias("_last"),
-            F.count(F.lit(1)).alias("frequency"),
-            total_money(amount).alias("monetary"),
-        )
-        .withColumn("_newest", newest)
+        folded.withColumn("_newest", folded.agg(F.max("_last")).scalar())
         .select(
             "user_id",
             day_gap("_last", "_newest").alias("recency_days"),
@@ -129,16 +151,8 @@ def rfm(
     f = (
         F.when(F.col("frequency") >= 3, 5).when(F.col("frequency") == 2, 4).otherwise(1)
     ).cast("long")
-    r, m = F.col("r"), F.col("m")
-    segment = (
-        F.when((r >= 4) & (m >= 4), "Champions")
-        .when((r >= 4) & (m == 3), "Loyal")
-        .when(r >= 4, "Promising")
-        .when(m >= 4, "Big Spenders")
-        .when((r == 3) & (m == 3), "Regular")
-        .when(m == 3, "At Risk")
-        .otherwise("Hibernating")
-    )
+    names = F.create_map(*(F.lit(x) for cell in SEGMENTS.items() for x in cell))
+    segment = names[F.concat_ws("/", _level("r", buckets), _level("m", buckets))]
     return by_spend.select(
         "user_id",
         "recency_days",

@@ -189,9 +189,9 @@ def outcome_lift(
         round_to(F.col("r0") * 100.0, 1).alias("rate_without_pct"),
         round_to(gap * 100.0, 1).alias("lift_pp"),
         round_to(relative * 100.0, 0).alias("lift_rel_pct"),
-        F.when(relative.isNull(), "not enough data")
-        .when(relative >= 0, "keep the link")
-        .otherwise("change delivery, not the cases")
+        F.when(relative.isNull(), "undefined")
+        .when(relative >= 0, "positive")
+        .otherwise("negative")
         .alias("verdict"),
         (relative >= strong_lift).alias("strong"),
     )

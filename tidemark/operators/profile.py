@@ -120,12 +120,13 @@ def profile_numeric(
         .groupBy("column_name")
         .agg(F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("outliers"))
     )
+    # a column without any value has moments of NULL and no quantiles
     return (
-        quantiles.join(moments, "column_name")
-        .join(outliers, "column_name")
+        moments.join(quantiles, "column_name", "left")
+        .join(outliers, "column_name", "left")
         .select(
             "column_name",
-            "n",
+            F.coalesce("n", F.lit(0)).alias("n"),
             round_to("mean", 4).alias("mean"),
             round_to("median", 4).alias("median"),
             round_to("std", 4).alias("std"),
@@ -154,15 +155,17 @@ def _categorical(df: DataFrame, column: str, top: int) -> DataFrame:
     whole = counted.agg(
         F.struct(F.count(F.lit(1)).alias("cardinality"), F.sum("n").alias("rows"))
     ).scalar()
+    # a column without any value is one row with cardinality 0
+    name = df.sparkSession.range(1).select(F.lit(True).alias("_on"))
+    frequent = counted.orderBy(F.desc("n"), "value").limit(top).withColumn("_on", F.lit(True))
     return (
-        counted.orderBy(F.desc("n"), "value")
-        .limit(top)
+        name.join(frequent, "_on", "left")
         .withColumn("_whole", whole)
         .select(
             F.lit(column).alias("column_name"),
             F.col("_whole.cardinality").alias("cardinality"),
             "value",
-            "n",
+            F.coalesce("n", F.lit(0)).alias("n"),
             percent("n", "_whole.rows", 1).alias("share_pct"),
         )
     )

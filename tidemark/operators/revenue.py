@@ -368,7 +368,8 @@ def net_revenue(
     """Gross, refunded and net revenue with the refund rate by amount, per order
     month (``by="month"``) or per order column (e.g. ``product_category``)."""
     key, name = (month_of(ts), "m") if by == "month" else (F.col(by), by)
-    back = refunds.select(order_id, F.col("amount").alias("_back"))
+    # an order may be refunded in parts
+    back = refunds.groupBy(order_id).agg(as_double(total_money("amount")).alias("_back"))
     sums = (
         orders.select(order_id, key.alias(name), F.col(amount).alias("_paid"))
         .join(back, order_id, "left")

@@ -87,7 +87,8 @@ def churn(
             monthly_twelfths(plan, amount).alias("mrr"),
         )
         .join(
-            cancels.select(sub_id, month_of(cancelled).alias("cancel_m")),
+            # the first of several cancellations counts
+            cancels.groupBy(sub_id).agg(F.min(month_of(cancelled)).alias("cancel_m")),
             sub_id,
             "left",
         )

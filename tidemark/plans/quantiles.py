@@ -126,7 +126,10 @@ def exact_quantiles(
         share = at - F.floor(at)
         low = F.col("_at")[F.floor(at).cast("long")]
         high = F.col("_at")[F.ceil(at).cast("long")]
-        return low * (F.lit(1.0) - share) + high * share
+        # equal ends need no arithmetic, which would turn infinity into NaN
+        return F.when((share == 0.0) | (low == high), low).otherwise(
+            low * (F.lit(1.0) - share) + high * share
+        )
 
     for p in probs.values():
         if not 0.0 <= p <= 1.0 or math.isnan(p):

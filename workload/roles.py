@@ -75,27 +75,35 @@ def _traits(spark, folder) -> DataFrame:
     )
 
 
-def users(spark, folder) -> DataFrame:
-    """Event users, signed up on the day of their first signup event."""
-    first = (
+def signups(spark, folder) -> DataFrame:
+    """Event users and the day of their first signup event."""
+    return (
         table(spark, folder, "events")
         .where(F.col("event_type") == "signup")
         .groupBy("user_id")
         .agg(F.min(F.to_date("ts")).alias("signup_date"))
     )
-    return first.join(_traits(spark, folder), "user_id").select(
+
+
+def users(spark, folder) -> DataFrame:
+    """Signed-up event users with their traits."""
+    return signups(spark, folder).join(_traits(spark, folder), "user_id").select(
         "user_id", "signup_date", "channel", "country", "device", "ab_variant"
     )
 
 
-def customers(spark, folder) -> DataFrame:
-    """Customers, signed up on the day of their first order of any status."""
-    first = (
+def buyers(spark, folder) -> DataFrame:
+    """Ordering customers, signed up on the day of their first order of any status."""
+    return (
         table(spark, folder, "orders")
         .groupBy(F.col("o_custkey").alias("user_id"))
         .agg(F.min(F.to_date("o_orderdate")).alias("signup_date"))
     )
-    return first.join(_traits(spark, folder), "user_id").select(
+
+
+def customers(spark, folder) -> DataFrame:
+    """Ordering customers with their traits."""
+    return buyers(spark, folder).join(_traits(spark, folder), "user_id").select(
         "user_id", "signup_date", "channel", "country", "device", "ab_variant"
     )
 
@@ -182,16 +190,16 @@ def refunds(spark, folder) -> DataFrame:
     )
 
 
-def _priced_lines(spark, folder) -> DataFrame:
-    country = _traits(spark, folder).select(
-        F.col("user_id").alias("o_custkey"), "country"
-    )
-    # the smaller join first: customers meet orders, not lines
-    placed = (
-        table(spark, folder, "orders")
-        .select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
-        .join(country, "o_custkey")
+def _priced_lines(spark, folder, country: bool = True) -> DataFrame:
+    placed = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"
     )
+    if country:
+        # the smaller join first: customers meet orders, not lines
+        traits = _traits(spark, folder).select(
+            F.col("user_id").alias("o_custkey"), "country"
+        )
+        placed = placed.join(traits, "o_custkey")
     return (
         table(spark, folder, "lineitem")
         .select(
@@ -202,12 +210,13 @@ def _priced_lines(spark, folder) -> DataFrame:
     )
 
 
-def lines(spark, folder) -> DataFrame:
+def lines(spark, folder, country: bool = True) -> DataFrame:
     """Invoice lines; returned ones are cancellations, every fifth customer is
-    a guest."""
+    a guest. Without ``country`` only lines and orders are read."""
     back = F.col("l_returnflag") == "R"
     units = F.col("l_quantity").cast("int")
-    return _priced_lines(spark, folder).select(
+    place = ["country"] if country else []
+    return _priced_lines(spark, folder, country).select(
         F.concat(F.when(back, "C").otherwise(""), F.col("l_orderkey").cast("string")).alias(
             "invoice"
         ),
@@ -216,7 +225,7 @@ def lines(spark, folder) -> DataFrame:
         F.col("o_orderdate").alias("invoice_ts"),
         F.col("l_extendedprice").alias("price"),
         F.when(F.col("o_custkey") % 5 != 0, F.col("o_custkey")).alias("customer_id"),
-        "country",
+        *place,
         back.alias("is_cancellation"),
     )
 

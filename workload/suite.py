@@ -62,28 +62,28 @@ def _(s, d):
 @query("q02_nday_retention")
 def _(s, d):
     return retention.nday_retention(
-        roles.users(s, d), roles.events(s, d), DAYS, grain="day"
+        roles.signups(s, d), roles.events(s, d), DAYS, grain="day"
     )
 
 
 @query("q02_nday_retention_orders")
 def _(s, d):
     return retention.nday_retention(
-        roles.customers(s, d), roles.all_orders(s, d), (1, 7, 30), ts="order_ts"
+        roles.buyers(s, d), roles.all_orders(s, d), (1, 7, 30), ts="order_ts"
     )
 
 
 @query("q03_rolling_retention")
 def _(s, d):
     return retention.rolling_retention(
-        roles.users(s, d), roles.events(s, d), STARTS, WIDTH, grain="day"
+        roles.signups(s, d), roles.events(s, d), STARTS, WIDTH, grain="day"
     )
 
 
 @query("q03_rolling_retention_orders")
 def _(s, d):
     return retention.rolling_retention(
-        roles.customers(s, d), roles.all_orders(s, d), ts="order_ts"
+        roles.buyers(s, d), roles.all_orders(s, d), ts="order_ts"
     )
 
 
@@ -104,7 +104,7 @@ def _(s, d):
 
 @query("q05_ltv_by_cohort")
 def _(s, d):
-    return revenue.ltv_by_cohort(roles.customers(s, d), roles.orders(s, d))
+    return revenue.ltv_by_cohort(roles.buyers(s, d), roles.orders(s, d))
 
 
 @query("q06_top_categories")
@@ -208,7 +208,7 @@ def _(s, d):
 
 @query("q18_revenue_triangle")
 def _(s, d):
-    return revenue.revenue_triangle(roles.customers(s, d), roles.orders(s, d))
+    return revenue.revenue_triangle(roles.buyers(s, d), roles.orders(s, d))
 
 
 @query("q19_repeat_purchase")
@@ -262,7 +262,7 @@ def _(s, d):
 
 @query("q26_repeat_concentration")
 def _(s, d):
-    return retail.repeat_concentration(roles.lines(s, d))
+    return retail.repeat_concentration(roles.lines(s, d, country=False))
 
 
 # ------------------------------------------------------- models and data tests
@@ -313,7 +313,7 @@ def _(s, d):
 
 @query("t01_not_null")
 def _(s, d):
-    return checks.not_null(roles.lines(s, d), "customer_id").select(
+    return checks.not_null(roles.lines(s, d, country=False), "customer_id").select(
         "invoice", "stock_code", "quantity", "customer_id"
     )
 
@@ -325,7 +325,7 @@ def _(s, d):
 
 @query("t03_unique_key")
 def _(s, d):
-    return checks.unique_key(roles.lines(s, d), ["customer_id", "invoice", "stock_code"])
+    return checks.unique_key(roles.lines(s, d, country=False), ["customer_id", "invoice", "stock_code"])
 
 
 @query("t04_relationships")
@@ -364,7 +364,7 @@ def _(s, d):
 @query("t08_range_check")
 def _(s, d):
     return checks.range_check(
-        roles.lines(s, d), {"quantity": (1, None), "price": (0.0, 50000.0)}
+        roles.lines(s, d, country=False), {"quantity": (1, None), "price": (0.0, 50000.0)}
     )
 
 
@@ -432,7 +432,7 @@ def _(s, d):
 @query("e03_overall_retention")
 def _(s, d):
     return retention.nday_retention(
-        roles.users(s, d), roles.events(s, d), DAYS, grain=None
+        roles.signups(s, d), roles.events(s, d), DAYS, grain=None
     )
 
 
@@ -494,22 +494,22 @@ def _(s, d):
 
 @query("e10_retail_overview")
 def _(s, d):
-    return retail.retail_overview(roles.lines(s, d))
+    return retail.retail_overview(roles.lines(s, d, country=False))
 
 
 @query("e11_customer_repeat")
 def _(s, d):
-    return retail.customer_repeat(roles.lines(s, d))
+    return retail.customer_repeat(roles.lines(s, d, country=False))
 
 
 @query("e12_concentration")
 def _(s, d):
-    return customers.concentration(retail.customer_revenue(roles.lines(s, d)))
+    return customers.concentration(retail.customer_revenue(roles.lines(s, d, country=False)))
 
 
 @query("e13_cancel_revenue")
 def _(s, d):
-    return retail.cancel_revenue(roles.lines(s, d))
+    return retail.cancel_revenue(roles.lines(s, d, country=False))
 
 
 @query("e14_weekly_resample")
@@ -545,7 +545,7 @@ def _(s, d):
 @query("e17_triangle_matrix")
 def _(s, d):
     triangle = revenue.revenue_triangle(
-        roles.customers(s, d), roles.orders(s, d), grain="year"
+        roles.buyers(s, d), roles.orders(s, d), grain="year"
     )
     return revenue.triangle_matrix(triangle)
 
