@@ -8,8 +8,10 @@ from tidemark.functions import ntile_bucket, two_sided_p_value
 from tidemark.plans import (
     date_series,
     dense,
+    durable,
     exact_quantiles,
     global_rank,
+    release,
     scratch_path,
     value_counts,
 )
@@ -107,30 +109,45 @@ def test_p_value_is_close_to_the_exact_normal_tail(spark):
 class FakeSession:
     """Only what the choice of the checkpoint folder looks at."""
 
-    def __init__(self, master, named=None, used=None):
-        self.master, self.used, self.named = master, used, named
-        self.conf = self.sparkContext = self
+    def __init__(self, named=None):
+        self.named, self.conf = named, self
 
     def get(self, key, default):
         return self.named or default
 
-    def getCheckpointDir(self):
-        return self.used
-
-    def setCheckpointDir(self, folder):
-        self.used = folder
-
 
 def test_the_named_checkpoint_folder_is_used():
-    session = FakeSession("spark://host", named="hdfs://shared/ck")
-    assert checkpoint_root(session) == "hdfs://shared/ck"
-    assert session.used == "hdfs://shared/ck"
+    assert checkpoint_root(FakeSession("hdfs://shared/ck")) == "hdfs://shared/ck"
 
 
-def test_a_temporary_folder_is_for_local_mode_only():
-    assert "tidemark-checkpoints" in checkpoint_root(FakeSession("local[4]"))
+def test_an_unnamed_folder_is_an_error():
     with pytest.raises(RuntimeError):
-        checkpoint_root(FakeSession("spark://host"))
+        checkpoint_root(FakeSession())
+
+
+def test_released_tables_are_gone(spark):
+    release(spark)
+    kept = durable(spark.range(5))
+    assert kept.count() == 5 and release(spark) == 1 and release(spark) == 0
+    with pytest.raises(Exception, match="(?i)not exist|no such file|PATH_NOT_FOUND"):
+        durable_again = spark.read.parquet(kept.inputFiles()[0])
+        durable_again.count()
+
+
+def test_quantiles_of_infinite_values(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(1.0,), (inf,), (inf,)], "x DOUBLE")
+    got = exact_quantiles(value_counts(df, [], "x"), [], "x", {"lo": 0.0, "mid": 0.5, "hi": 1.0})
+    assert rows(got.select("lo", "mid", "hi")) == [(1.0, inf, inf)]
+
+
+def test_gaps_are_filled_in_one_reading(make):
+    df = make("d DATE, n INT", [("2024-01-01", 1), ("2024-01-15", 2), ("2024-01-22", None)])
+    filled = dense(df, "d", "week").orderBy("d")
+    assert [r.n for r in filled.collect()] == [1, None, 2, None]
+    later = dense(df, "d", "week", until="2024-02-05").orderBy("d")
+    assert [str(r.d) for r in later.collect()][-2:] == ["2024-01-29", "2024-02-05"]
+    assert filled._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation") <= 1
 
 
 def test_scratch_tables_lie_in_the_checkpoint_folder(spark):

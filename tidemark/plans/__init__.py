@@ -1,5 +1,5 @@
 from tidemark.plans.calendars import date_series, dense
-from tidemark.plans.durable import durable, scratch_path
+from tidemark.plans.durable import durable, release, scratch_path
 from tidemark.plans.joins import null_safe_join
 from tidemark.plans.quantiles import exact_quantiles, value_counts
 from tidemark.plans.ranking import global_rank
@@ -12,6 +12,7 @@ __all__ = [
     "exact_quantiles",
     "global_rank",
     "null_safe_join",
+    "release",
     "running_level",
     "scratch_path",
     "value_counts",

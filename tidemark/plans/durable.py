@@ -3,37 +3,46 @@
 Ranking and exact quantiles read one range-partitioned frame several times and
 need every reading to see the same partition borders, also after an executor
 is lost. The frame is therefore written to the shared folder the cluster names
-in ``spark.checkpoint.dir``.
+in ``spark.checkpoint.dir``. Results are lazy and read these tables, so a caller
+who is done with them calls :func:`release`.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_written: list[str] = []
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only in local mode."""
-    context = spark.sparkContext
+    """The folder the session names; settings are read, never changed."""
     named = spark.conf.get(SETTING, None)
-    if named is None and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError(
-                f"set {SETTING} to a folder that every executor can reach"
-            )
-        named = tempfile.mkdtemp(prefix="tidemark-checkpoints-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
-    return named or context.getCheckpointDir()
+    if not named:
+        raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
+    return named
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for a written table, next to the checkpoints."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables written so far by this process; how many there were.
+
+    Frames that read them cannot be computed any more.
+    """
+    count = len(_written)
+    while _written:
+        where = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        files = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        files.delete(where, True)
+    return count
 
 
 def durable(df: DataFrame) -> DataFrame:
