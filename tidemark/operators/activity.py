@@ -101,13 +101,15 @@ def moving_average(
     rows: int = 7,
     name: str = "dau_ma7",
     digits: int = 1,
+    by: list[str] | None = None,
 ) -> DataFrame:
     """Trailing mean over the last ``rows`` rows (shorter at the start) of a
-    series that has one row per date."""
-    trailing = Window.orderBy(at).rowsBetween(-(rows - 1), Window.currentRow)
+    series that has one row per date, or per date of each group ``by``."""
+    by = by or []
+    trailing = Window.partitionBy(*by).orderBy(at).rowsBetween(-(rows - 1), Window.currentRow)
     return series.select(
-        at, value, round_to(F.avg(value).over(trailing), digits).alias(name)
-    ).orderBy(at)
+        *by, at, value, round_to(F.avg(value).over(trailing), digits).alias(name)
+    ).orderBy(*by, at)
 
 
 def longest_streak(

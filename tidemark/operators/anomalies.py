@@ -19,15 +19,18 @@ def mad_anomalies(
     history: int = 14,
     min_history: int = 7,
     threshold: float = 3.0,
+    by: list[str] | None = None,
 ) -> DataFrame:
     """Modified z-score of each row against its preceding ``history`` rows.
 
     The baseline is the median of the prior rows; the spread is the median over
     the prior rows of their distance from *their own* baseline. Rows with too
     little history are dropped, and a zero spread gives no score. The series
-    has one row per date, so its window is small.
+    has one row per date, so its window is small; ``by`` names the columns of
+    separate series.
     """
-    prior = Window.orderBy(at).rowsBetween(-history, -1)
+    by = by or []
+    prior = Window.partitionBy(*by).orderBy(at).rowsBetween(-history, -1)
     x = F.col(value).cast("double")
     z = (
         F.lit(MAD_SCALE)
@@ -46,11 +49,12 @@ def mad_anomalies(
         .withColumn("_mad", F.percentile("_off", 0.5).over(prior))
         .where(F.col("_seen") >= min_history)
         .select(
+            *by,
             at,
             round_to("_x", 2).alias("daily_revenue"),
             round_to("_base", 2).alias("baseline_median"),
             round_to(z, 2).alias("z_mad"),
             F.when(F.abs(z) >= threshold, "YES").otherwise("").alias("anomalous"),
         )
-        .orderBy(at)
+        .orderBy(*by, at)
     )

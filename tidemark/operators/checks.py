@@ -56,13 +56,17 @@ def accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
     )
 
 
-def monotonic(df: DataFrame, order: str, value: str, label: str) -> DataFrame:
-    """Adjacent rows of a small ordered table whose value does not fall."""
-    following = F.lead(value).over(Window.orderBy(order))
+def monotonic(
+    df: DataFrame, order: str, value: str, label: str, by: list[str] | None = None
+) -> DataFrame:
+    """Adjacent rows of a small ordered table, or of each group ``by``, whose value
+    does not fall."""
+    by = by or []
+    following = F.lead(value).over(Window.partitionBy(*by).orderBy(order))
     return (
         df.withColumn("_next", following)
         .where(F.col("_next") >= F.col(value))
-        .select(label, value, F.col("_next").alias(f"next_{value}"))
+        .select(*by, label, value, F.col("_next").alias(f"next_{value}"))
     )
 
 

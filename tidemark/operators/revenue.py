@@ -126,26 +126,39 @@ def top_users(
 
 
 def daily_revenue(
-    orders: DataFrame, ts: str = "order_ts", amount: str = "amount"
+    orders: DataFrame,
+    ts: str = "order_ts",
+    amount: str = "amount",
+    by: list[str] | None = None,
 ) -> DataFrame:
-    return orders.groupBy(day(ts).alias("d")).agg(total_money(amount).alias("revenue"))
+    return orders.groupBy(*(by or []), day(ts).alias("d")).agg(
+        total_money(amount).alias("revenue")
+    )
 
 
 def running_total(
-    orders: DataFrame, ts: str = "order_ts", amount: str = "amount"
+    orders: DataFrame,
+    ts: str = "order_ts",
+    amount: str = "amount",
+    by: list[str] | None = None,
 ) -> DataFrame:
-    """Daily revenue and its cumulative sum (window over one row per day)."""
-    upto = Window.orderBy("d").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    """Daily revenue and its cumulative sum (window over one row per day, for each
+    group ``by``)."""
+    by = by or []
+    upto = (
+        Window.partitionBy(*by)
+        .orderBy("d")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        daily_revenue(orders, ts, amount)
+        daily_revenue(orders, ts, amount, by)
         .select(
+            *by,
             "d",
             round_to("revenue", 2).alias("daily_revenue"),
             round_to(F.sum("revenue").over(upto), 2).alias("cumulative"),
         )
-        .orderBy("d")
+        .orderBy(*by, "d")
     )
 
 

@@ -117,6 +117,11 @@ def _(s, d):
     return revenue.running_total(roles.orders(s, d))
 
 
+@query("q07_running_total_by_category")
+def _(s, d):
+    return revenue.running_total(roles.all_orders(s, d), by=["product_category"])
+
+
 @query("q08_longest_streak")
 def _(s, d):
     return activity.longest_streak(roles.events(s, d), 50)
@@ -255,6 +260,12 @@ def _(s, d):
     return anomalies.mad_anomalies(revenue.daily_revenue(roles.orders(s, d)))
 
 
+@query("q24_anomalies_by_category")
+def _(s, d):
+    daily = revenue.daily_revenue(roles.all_orders(s, d), by=["product_category"])
+    return anomalies.mad_anomalies(daily, by=["product_category"])
+
+
 @query("q25_subscription_conversion")
 def _(s, d):
     return customers.subscription_conversion(roles.orders(s, d), roles.subs(s, d))
