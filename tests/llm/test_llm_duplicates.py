@@ -86,6 +86,15 @@ def test_near_duplicates_of_odd_rows(odd):
     assert all(r.component_id is None for r in by[None])
 
 
+def test_texts_of_one_id_share_its_links(spark):
+    a, b = prose(1, 200), prose(2, 200)
+    rows = [(5, a), (5, b), (6, a + " more"), (7, b + " more"), (8, prose(3, 200)), (5, a)]
+    got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert Counter((r.doc_id, r.component_id) for r in got.collect()) == Counter(
+        {(5, 5): 3, (6, 5): 1, (7, 5): 1, (8, 8): 1}
+    )
+
+
 def test_near_duplicates_of_nothing(odd):
     assert setsketch.near_duplicates(odd.limit(0)).collect() == []
 

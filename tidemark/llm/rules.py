@@ -181,7 +181,9 @@ def train(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Mode
     known = labels.where("quality in (0, 1)").groupBy("doc_id").agg(
         F.min("quality").cast("double").alias("label")
     )
-    usable = known.where(fold(F.col("doc_id")) != HELD_OUT)
+    usable = known.where(fold(F.col("doc_id")) != HELD_OUT).join(
+        stats.select("doc_id"), "doc_id", "left_semi"
+    )
     kinds = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
     n = sum(kinds.values())
     if len(kinds) < 2:

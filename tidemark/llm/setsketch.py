@@ -22,8 +22,8 @@ No pair of one bucket goes unexamined, whatever its size: it is confirmed, refut
 by its registers, or both documents are in one component already.
 
 Defined cases: a null or empty text has no shingles and no links; a text of one or
-two words is one shingle; a null doc_id has no links; a repeated doc_id gives one
-row for each of its rows, with its smallest set standing for all in links.
+two words is one shingle; a null doc_id has no links; rows that share a doc_id give
+a row each and are one document in links, which has the links of all its texts.
 """
 
 from __future__ import annotations
@@ -286,7 +286,9 @@ def near_duplicates(
     texts = durable(
         docs.select(F.col("doc_id").alias("id"), text.alias("text"))
         .join(in_hub.select("id").distinct().hint("merge"), "id", "left_semi")
-        .dropDuplicates(["id"])
+        .withColumn("mark", F.xxhash64("text"))
+        .dropDuplicates(["id", "mark"])
+        .drop("mark")
     )
     dealt = in_hub.select(
         F.col("hub").alias("g_hub"),
