@@ -613,9 +613,7 @@ def _(s, d):
 
 @query("p02_quality")
 def _(s, d):
-    return profile.profile_quality(
-        roles.lines(s, d).select("invoice", "quantity", "customer_id", "country")
-    )
+    return profile.profile_quality(roles.lines(s, d))
 
 
 @query("p03_numeric")
