@@ -195,8 +195,11 @@ def _scorer(tables):
                 word_ref = np.append(key_counts, total - key_counts.sum())
                 near[1][mine] = distance(seen.reshape(n, k + 1)[mine], word_ref)
             parts.append([*base_counts(block), by_class.sum(axis=1), *near])
-        names = [f.split()[0] for f in BASE.split(", ")] + ["n_chars", "class_distance", "word_distance"]
-        columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 6 + [np.zeros(0)] * 2
+        names = [f.split()[0] for f in BASE.split(", ")]
+        names += ["n_chars", "class_distance", "word_distance"]
+        if not parts:  # an empty batch
+            parts = [[np.zeros(0, np.int64)] * 6 + [np.zeros(0)] * 2]
+        columns = [np.concatenate(c) for c in zip(*parts)]
         return pa.StructArray.from_arrays([pa.array(c) for c in columns], names)
 
     return score
