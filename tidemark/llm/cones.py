@@ -286,8 +286,9 @@ def near_vectors(
         .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
         .select("filter", "i", "j", "part", "class", "weight", "embedding", "filters")
     )
+    # by all three, or every slice of a filter would meet in the task of its join
     found = durable(
-        placed.groupBy("filter", "i", "j").applyInArrow(
+        placed.repartition("filter", "i", "j").groupBy("filter", "i", "j").applyInArrow(
             _compare(cosine), "a bigint, b bigint, n bigint"
         )
     )
