@@ -27,7 +27,6 @@ SCHEMAS = {
 }
 
 STEPS = ["signup", "view", "click", "purchase"]
-PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
