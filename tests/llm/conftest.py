@@ -46,7 +46,7 @@ def odd(spark):
 
 @pytest.fixture
 def texts_of(spark):
-    def build(texts, **columns):
+    def build(texts):
         return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
 
     return build
