@@ -28,9 +28,11 @@ from pyspark.sql.functions import arrow_udf
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
-from tidemark.llm.pieces import REMEMBER, Memo, ids_array, lettered
+from tidemark.llm.pieces import Memo, ids_array, lettered
 from tidemark.llm.scan import binary
 
+REMEMBER = 200_000  # pieces of one generation; a quarter as many fragments of each kind
+
 # The vocabulary's splitting pattern, for texts of ASCII and these Latin
 # letters, on which normalisation only lowers letters.
 _LETTERS = "a-zß-öø-ÿ"
