@@ -73,6 +73,43 @@ def test_near_duplicates_equal_brute_force(texts_of, corpus, group_rows):
     assert len(links) > 200
 
 
+def wide_shingles(text, width):
+    w = WORD.findall(lower(text or ""))
+    if 0 < len(w) < width:
+        return frozenset([tuple(w)])
+    return frozenset(zip(*(w[k:] for k in range(width))))
+
+
+@pytest.mark.parametrize("width, percent", [(3, 85), (5, 80)])
+def test_width_and_threshold_of_near_duplicates(texts_of, corpus, width, percent):
+    """A tail of 85 words leaves 0.82 in common in either width; ten words changed in
+    400 leave 0.86 of three-word shingles and 0.78 of five-word ones."""
+    words = [f"w{k}" for k in range(400)]
+    tail = words + [f"tail{k}" for k in range(85)]
+    scattered = [f"new{k}" if k % 40 == 20 else w for k, w in enumerate(words)]
+    texts = [" ".join(words), " ".join(tail), " ".join(scattered), "a b c d", *corpus]
+    sets = {i: wide_shingles(text, width) for i, text in enumerate(texts)}
+    links = [
+        (a, b)
+        for a in sets
+        for b in sets
+        if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    ]
+    want = reachable(sets, links)
+    assert (want[1] == 0, want[2] == 0) == ((False, True) if width == 3 else (True, False))
+    got = setsketch.near_duplicates(texts_of(texts), percent, width=width).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {
+        i: (len(s), want[i]) for i, s in sets.items()
+    }
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 90])
+def test_bands_miss_few_pairs_at_the_threshold(percent):
+    band = setsketch.band_of(percent)
+    missed = (1 - (percent / 100) ** band) ** (setsketch.REGISTERS // band)
+    assert missed <= 3e-7
+
+
 def test_near_duplicates_of_odd_rows(odd):
     got = setsketch.near_duplicates(odd).collect()
     assert len(got) == odd.count()

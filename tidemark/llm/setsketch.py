@@ -1,6 +1,7 @@
 """Near-duplicate documents by SetSketch registers.
 
-A document is the set of its 3-word shingles. Its sketch has ``registers`` values:
+A document is the set of its shingles of ``width`` words, 3 if not given. Its sketch
+has ``registers`` values:
 each shingle draws a Poisson process of points, every point falls on one register,
 and a register keeps the smallest point it has seen, on a logarithmic scale cut off
 at both ends. Sketches of unions are the register-wise maxima, and two sets agree in
@@ -21,8 +22,8 @@ a register about as often as their elements coincide.
 No pair of one bucket goes unexamined, whatever its size: it is confirmed, refuted
 by its registers, or both documents are in one component already.
 
-Defined cases: a null or empty text has no shingles and no links; a text of one or
-two words is one shingle; a null doc_id has no links; rows that share a doc_id give
+Defined cases: a null or empty text has no shingles and no links; a text of fewer words
+than a shingle is one shingle; a null doc_id has no links; rows that share a doc_id give
 a row each and are one document in links, which has the links of all its texts.
 """
 
@@ -40,7 +41,8 @@ from tidemark.plans import durable
 
 WIDTH = 3
 THRESHOLD_PCT = 85
-REGISTERS, BAND = 192, 6  # 32 bands; a pair at 0.85 misses all with a chance of 3e-7
+REGISTERS = 192
+MISSED = 3e-7  # chance that a pair at the threshold meets in no band
 SCALE = 1.02  # of the registers' logarithm
 LOWEST, HIGHEST = -600, 1400  # register values are cut off here
 GROUP_ROWS, GROUP_SHINGLES = 400, 1_000_000  # of one group's documents
@@ -114,6 +116,14 @@ def registers_of(sets: list[np.ndarray], registers: int = REGISTERS) -> np.ndarr
     return np.clip(value, LOWEST, HIGHEST).astype(np.int16).reshape(len(sets), registers)
 
 
+def band_of(percent: int, registers: int = REGISTERS) -> int:
+    """Registers of a band: as many as leave pairs at the threshold a chance of MISSED."""
+    for band in range(registers, 1, -1):
+        if (1 - (percent / 100) ** band) ** (registers // band) <= MISSED:
+            return band
+    return 1
+
+
 def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The registers of a union."""
     return np.maximum(a, b)
@@ -141,9 +151,10 @@ def likely_similarity(one, size, many, sizes) -> np.ndarray:
 
 def _sketch_bands(sets: list[np.ndarray], registers: int, band: int):
     values = registers_of(sets, registers)
-    keys = np.zeros((len(sets), registers // band), np.uint64)
+    n = registers // band
+    keys = np.zeros((len(sets), n), np.uint64)
     for k in range(band):
-        part = values[:, k::band].astype(np.int64).view(np.uint64)
+        part = values[:, k : n * band : band].astype(np.int64).view(np.uint64)
         keys = mix(keys * GOLDEN + part + np.uint64(k + 1))
     return values, keys
 
@@ -156,24 +167,29 @@ def _listed(values: np.ndarray) -> pa.Array:
     )
 
 
-def _sketch(text: pa.Array) -> pa.Array:
-    sizes, prints, bands = [], [], []
-    for _, data, offsets in blocks(text):
-        sets = shingle_sets(Block(data, offsets))
-        _, keys = _sketch_bands(sets, REGISTERS, BAND)
-        sizes += [len(s) for s in sets]
-        # two sums of mixed elements stand for the whole set
-        prints += [
-            (int(mix(s).sum(dtype=np.uint64)), int(mix(s ^ GOLDEN).sum(dtype=np.uint64)))
-            for s in sets
-        ]
-        bands.append(keys.view(np.int64))
-    two = np.array(prints, np.uint64).reshape(-1, 2).view(np.int64)
-    keys = np.concatenate(bands) if bands else np.zeros((0, REGISTERS // BAND), np.int64)
-    return pa.StructArray.from_arrays(
-        [pa.array(sizes, pa.int64()), _listed(two), _listed(keys)],
-        ["n_shingles", "print", "bands"],
-    )
+def _sketch(width: int, percent: int):
+    band = band_of(percent)
+
+    def sketch(text: pa.Array) -> pa.Array:
+        sizes, prints, bands = [], [], []
+        for _, data, offsets in blocks(text):
+            sets = shingle_sets(Block(data, offsets), width)
+            _, keys = _sketch_bands(sets, REGISTERS, band)
+            sizes += [len(s) for s in sets]
+            # two sums of mixed elements stand for the whole set
+            prints += [
+                (int(mix(s).sum(dtype=np.uint64)), int(mix(s ^ GOLDEN).sum(dtype=np.uint64)))
+                for s in sets
+            ]
+            bands.append(keys.view(np.int64))
+        two = np.array(prints, np.uint64).reshape(-1, 2).view(np.int64)
+        keys = np.concatenate(bands) if bands else np.zeros((0, REGISTERS // band), np.int64)
+        return pa.StructArray.from_arrays(
+            [pa.array(sizes, pa.int64()), _listed(two), _listed(keys)],
+            ["n_shingles", "print", "bands"],
+        )
+
+    return sketch
 
 
 class _Forest:
@@ -229,12 +245,12 @@ def confirmed_links(ids, sets, first: np.ndarray, percent: int, roots=None):
     return out
 
 
-def _group_links(percent: int):
+def _group_links(width: int, percent: int):
     def links(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         ids = table.column("id").to_pylist()
         text = table.column("text").chunk(0) if table.num_rows else pa.array([], pa.binary())
-        sets = [s for _, d, o in blocks(text) for s in shingle_sets(Block(d, o))]
+        sets = [s for _, d, o in blocks(text) for s in shingle_sets(Block(d, o), width)]
         first = np.array(table.column("first").to_pylist(), bool)
         found = confirmed_links(ids, sets, first, percent, table.column("root").to_pylist())
         return pa.table(
@@ -247,13 +263,13 @@ def _group_links(percent: int):
     return links
 
 
-def _deal(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _deal(members: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Confirmed links of members (group columns, id, first, root)."""
     keys = [c for c in members.columns if c.startswith("g_")]
     return (
         members.join(docs, "id")
         .groupBy(*keys)
-        .applyInArrow(_group_links(percent), "a bigint, b bigint")
+        .applyInArrow(_group_links(width, percent), "a bigint, b bigint")
     )
 
 
@@ -262,10 +278,13 @@ def near_duplicates(
     percent: int = THRESHOLD_PCT,
     group_rows: int = GROUP_ROWS,
     group_shingles: int = GROUP_SHINGLES,
+    width: int = WIDTH,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    sketch = arrow_udf(_sketch, "n_shingles bigint, print array<bigint>, bands array<bigint>")
+    sketch = arrow_udf(
+        _sketch(width, percent), "n_shingles bigint, print array<bigint>, bands array<bigint>"
+    )
     sketched = durable(
         docs.select(F.col("doc_id").alias("id"), sketch(text).alias("s")).select("id", "s.*")
     )
@@ -304,14 +323,15 @@ def near_duplicates(
     members = dealt.unionByName(own).distinct()
     found = durable(
         _deal(
-            members.withColumns({"first": F.lit(True), "root": F.col("id")}), texts, percent
+            members.withColumns({"first": F.lit(True), "root": F.col("id")}), texts, width, percent
         )
     )
     copies = member.where("id != class").select(F.col("class").alias("a"), F.col("id").alias("b"))
     large = in_hub.where("groups > 1")
     links = found
     if not large.isEmpty():
-        links = found.unionByName(durable(_across(large, components(found), texts, percent, group_rows)))
+        across = _across(large, components(found), texts, width, percent, group_rows)
+        links = found.unionByName(durable(across))
     joined = components(links.unionByName(copies))
     out = (
         sketched.select("id", "n_shingles")
@@ -351,7 +371,9 @@ def _sized(hubs: DataFrame, classes: DataFrame, rows: int, shingles: int) -> Dat
     return hubs.join(groups, "hub").select("hub", "id", "groups")
 
 
-def _across(large: DataFrame, known: DataFrame, texts: DataFrame, percent: int, rows: int) -> DataFrame:
+def _across(
+    large: DataFrame, known: DataFrame, texts: DataFrame, width: int, percent: int, rows: int
+) -> DataFrame:
     """Links between the groups of one hub: its smaller components against all."""
     member = large.join(known, "id", "left").withColumn(
         "root", F.coalesce("component_id", "id")
@@ -385,4 +407,4 @@ def _across(large: DataFrame, known: DataFrame, texts: DataFrame, percent: int,
     group = minor.unionByName(every).groupBy("g_hub", "g_minor", "g_part", "id", "root").agg(
         F.max("first").alias("first")
     )
-    return _deal(group, texts, percent)
+    return _deal(group, texts, width, percent)
