@@ -270,6 +270,19 @@ def test_recall_at_the_threshold():
     assert met.mean() >= 0.99
 
 
+@pytest.mark.parametrize("n", [1_000_000, 100_000_000])
+def test_recall_at_the_threshold_of_large_tables(n):
+    """As many codes as the plan of n vectors needs."""
+    parts, words, cap = cones.plan(n, 64)
+    codes = cones.codes_of(64, parts, words, cap, cones.THRESHOLD, cones.CODES, cones.RECALL)
+    a, b = cones.pairs_at(0.9001, 64, 1000, 6)
+    missed = np.ones(len(a), bool)
+    for code in codes:
+        missed[missed] = ~cones.met(code, cap, a[missed], b[missed])
+    assert missed.mean() <= 0.004
+    assert len(codes) >= cones.CODES
+
+
 # ----------------------------------------------------------------------- lines
 
 

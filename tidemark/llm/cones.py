@@ -14,7 +14,9 @@ more than two slices. A task returns counts and a forest of its links, never its
 pairs.
 
 The directions of one code are not independent: a vector may lie badly for all of
-them. So there are ``codes`` codes with a rotation of their own each. Cap and codebook
+them. So there are several codes with a rotation of their own each, ``codes`` at least
+and as many as a pair at the threshold needs to share a filter with the chance
+``recall``: a code's chance is found by trial on random pairs. Cap and codebook
 follow from the number of vectors: the caps are so narrow that a filter has about
 ``load`` of n random vectors, and the directions so many that two vectors at the
 threshold share ``shared`` filters of a code on average; README has measured recall.
@@ -42,6 +44,7 @@ from tidemark.plans import durable
 
 THRESHOLD = 0.9
 CODES, SHARED, LOAD = 16, 1.0, 256
+RECALL, TRIAL = 0.999, 2000  # of pairs at the threshold; random pairs that codes are tried on
 LEAST_BOTH = 0.15
 SLICE = 512  # vectors of one filter that one side of a task holds
 SEED = 20240229
@@ -131,6 +134,46 @@ class Code:
 
 
 
+def pairs_at(cosine: float, dim: int, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """n random pairs of unit vectors at that cosine."""
+    rng = np.random.default_rng([seed, dim, n])
+    a, e = rng.standard_normal((2, n, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    e -= (e * a).sum(axis=1, keepdims=True) * a
+    e /= np.maximum(np.linalg.norm(e, axis=1, keepdims=True), 1e-300)
+    return a, cosine * a + math.sqrt(1 - cosine * cosine) * e
+
+
+def met(code: Code, cap: float, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs share a filter of the code."""
+    one, two = (set(zip(*map(np.ndarray.tolist, code.filters(x, cap)))) for x in (a, b))
+    out = np.zeros(len(a), bool)
+    out[[r for r, _ in one & two]] = True
+    return out
+
+
+def codes_of(
+    dim: int, parts: int, words: int, cap: float, cosine: float, least: int, recall: float
+) -> list[Code]:
+    """``least`` codes, or more if pairs at the threshold would be missed too often.
+
+    Rotations are independent, so all codes miss a pair with the product of their
+    chances.
+    """
+    out = [Code(dim, parts, words, SEED + k) for k in range(least)]
+    if dim == 1 or recall <= 0:
+        return out
+    tried = out[:4]
+    a, b = pairs_at(cosine, dim, TRIAL, SEED)
+    cuts = np.array_split(np.arange(TRIAL), len(tried))
+    found = sum(met(c, cap, a[i], b[i]).sum() for c, i in zip(tried, cuts)) / TRIAL
+    missed = 1 - max(found, 1 / TRIAL)
+    if missed > 0:
+        more = math.ceil(math.log(1 - recall) / math.log(missed)) - least
+        out += [Code(dim, parts, words, SEED + least + k) for k in range(more)]
+    return out
+
+
 def units(vectors: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     """(rows, unit vectors) of the vectors that can link, by length of vector."""
     if isinstance(vectors, pa.ChunkedArray):
@@ -161,7 +204,7 @@ def padded(lists: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
-def _filters_of(n: int, cosine: float, codes: int, shared: float, load: int):
+def _filters_of(n: int, cosine: float, codes: int, shared: float, load: int, recall: float):
     made: dict[int, tuple[list[Code], float]] = {}
 
     def find(vectors: pa.Array) -> pa.Array:
@@ -170,7 +213,7 @@ def _filters_of(n: int, cosine: float, codes: int, shared: float, load: int):
             dim = x.shape[1]
             if dim not in made:
                 parts, words, cap = plan(n, dim, cosine, shared, load)
-                made[dim] = [Code(dim, parts, words, SEED + k) for k in range(codes)], cap
+                made[dim] = codes_of(dim, parts, words, cap, cosine, codes, recall), cap
             own, cap = made[dim]
             span = own[0].words ** len(own[0].books)
             for start in range(0, len(rows), 1024):
@@ -254,6 +297,7 @@ def near_vectors(
     shared: float = SHARED,
     load: int = LOAD,
     slice_rows: int = SLICE,
+    recall: float = RECALL,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per vector."""
     rows = durable(vectors.select("vec_id", "embedding"))
@@ -268,7 +312,7 @@ def near_vectors(
         )
     )
     n = classes.count()
-    filters = arrow_udf(_filters_of(n, cosine, codes, shared, load), "array<bigint>")
+    filters = arrow_udf(_filters_of(n, cosine, codes, shared, load, recall), "array<bigint>")
     # two classes may have one vec_id; they stay apart by their number of rows there
     listed = durable(classes.withColumn("filters", filters("embedding")))
     ids = listed.select("class", F.explode("filters").alias("filter"))
