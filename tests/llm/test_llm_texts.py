@@ -148,6 +148,25 @@ def test_edits_count_as_a_full_count():
     assert encoded < total / 3
 
 
+@pytest.mark.parametrize("new", ["x" * 3000, "long words " * 400, "y z " * 10])
+def test_edits_encode_each_character_once_and_say_so(monkeypatch, new):
+    """Also if the last leaf grows so much that the trees are laid out anew."""
+    text = "foo bar baz " * 300 + "w" * 3000
+    tree = counting.plant(text, RANKS)
+    plain, seen = counting.count, []
+
+    def counted(path, part):
+        seen.append(len(part))
+        return plain(path, part)
+
+    monkeypatch.setattr(counting, "count", counted)
+    for at in (1800, 0, len(text) - 5):
+        seen.clear()
+        tree, text, n = counting.edit(tree, text, at, at + 2, new, RANKS)
+        assert n == sum(seen)
+        assert (tree.tokens[1], tree.chars[1]) == (plain(RANKS, text), len(text))
+
+
 def test_edits_of_odd_rows(spark, odd):
     edits = F.array(
         F.struct(F.lit(0).alias("start"), F.lit(3).alias("end"), F.lit("new").alias("text")),

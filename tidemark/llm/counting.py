@@ -7,9 +7,10 @@ leaves, kept as arrays, hold the characters and the tokens of every subtree.
 
 An edit replaces a range of the text. The trees lead to the leaves it touches, widened
 by the characters next to it that decide on the leaves' borders; only that region is
-encoded, and only sums on the way from its leaves to the root change. If a region
-needs more leaves than it had, its last leaf grows, and beyond ``GROWN`` times the
-usual size the trees are laid out anew from the leaves' sums, still without encoding.
+encoded, each character once, and only sums on the way from its leaves to the root
+change. If a region needs more leaves than it had, its last leaf takes the sums of those
+left over, and beyond ``GROWN`` times the usual size the trees are laid out anew from
+the leaves' sums, with those left over as leaves of their own.
 
 Defined cases: a null text is an empty one; null edits are none; a range outside
 the text is clipped to it; edits apply in their order, each to the text that those
@@ -117,26 +118,25 @@ def edit(tree: Tree, text: str, start: int, end: int, new: str, path: str) -> tu
         last, begin = tree.find(high)
         high = begin + tree.chars[tree.size + last]
     region = text[low:start] + new + text[end:high]
-    parts = leaves(region)
+    sums = [(len(part), count(path, part)) for part in leaves(region)]
     had = last - first + 1
-    if len(parts) > had:
-        parts[had - 1 :] = ["".join(parts[had - 1 :])]
-    for k in range(had):
-        part = parts[k] if k < len(parts) else ""
-        tree.put(first + k, len(part), count(path, part))
+    # no token crosses a cut, so what is over has the sums of its parts
+    used = min(len(sums), had)
+    over = sums[used - 1 :]
+    grown = sum(c for c, _ in over), sum(t for _, t in over)
+    for k, (chars, tokens) in enumerate([*sums[: used - 1], grown] + [(0, 0)] * (had - used)):
+        tree.put(first + k, chars, tokens)
     text = text[:start] + new + text[end:]
-    if len(parts[-1]) > GROWN * LEAF:
-        tree = _spread(tree, first + len(parts) - 1, parts[-1], path)
+    if grown[0] > GROWN * LEAF:
+        tree = _spread(tree, first + used - 1, over)
     return tree, text, len(region)
 
 
-def _spread(tree: Tree, leaf: int, text: str, path: str) -> Tree:
-    """The trees anew with one leaf cut into several."""
-    parts = leaves(text)
-    chars, tokens = tree.chars[tree.size :], tree.tokens[tree.size :]
-    chars[leaf : leaf + 1] = [len(p) for p in parts]
-    tokens[leaf : leaf + 1] = [count(path, p) for p in parts]
-    full = [(c, t) for c, t in zip(chars, tokens) if c] or [(0, 0)]
+def _spread(tree: Tree, leaf: int, sums: list[tuple[int, int]]) -> Tree:
+    """The trees anew with one leaf replaced by several."""
+    full = list(zip(tree.chars[tree.size :], tree.tokens[tree.size :]))
+    full[leaf : leaf + 1] = sums
+    full = [(c, t) for c, t in full if c] or [(0, 0)]
     return Tree.of([c for c, _ in full], [t for _, t in full])
 
 
