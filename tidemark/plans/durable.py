@@ -32,14 +32,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the tables written so far by this process; how many there were.
+def release(spark: SparkSession, *paths: str) -> int:
+    """Delete the tables written so far by this process, or those at ``paths`` only.
 
-    Frames that read them cannot be computed any more.
+    Returns how many there were. Frames that read them cannot be computed any more.
     """
-    count = len(_written)
-    while _written:
-        where = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+    gone = [p for p in _written if p in paths] if paths else list(_written)
+    count = len(gone)
+    for path in gone:
+        _written.remove(path)
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
         files = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
         files.delete(where, True)
     return count
