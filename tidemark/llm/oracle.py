@@ -203,11 +203,122 @@ SELECT doc_id, coalesce(n_lines_removed, 0) AS n_lines_removed,
 FROM documents d LEFT JOIN result USING (doc_id)
 """
 
+_OP11 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (
+  SELECT page_id, payload, strlen(payload) AS payload_bytes,
+         CAST(CAST(unhex(sha1(payload)) AS BIT) AS VARCHAR) AS bits,
+         min(page_id) OVER (PARTITION BY payload) AS first
+  FROM p
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + list_sum(list_transform(range(5), lambda j:
+           CAST(substr(bits, 5 * k + j + 1, 1) AS INT) * (16 >> j)))::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM d
+"""
+
+
+def _rounds(rounds: int) -> str:
+    """CTEs near0, centroid1, near1 ...: each round's nearest centroids and their means."""
+    near = """
+near{k} AS MATERIALIZED (
+  SELECT vec_id, c AS cluster, far AS distance FROM (
+    SELECT vec_id, c, sum((part.x - centroid{k}.x) * (part.x - centroid{k}.x))::BIGINT AS far
+    FROM part JOIN centroid{k} USING (i) GROUP BY vec_id, c
+  ) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY far, c) = 1
+)"""
+    mean = """,
+mean{k} AS (
+  SELECT cluster AS c, i, sum(x) AS total, count(*) AS n
+  FROM near{k} JOIN part USING (vec_id) GROUP BY cluster, i
+),
+centroid{next} AS MATERIALIZED (
+  SELECT c, i, CASE WHEN n IS NULL THEN x
+    ELSE (total - ((total % n) + n) % n) // n END::BIGINT AS x  -- floored
+  FROM centroid{k} LEFT JOIN mean{k} USING (c, i)
+),"""
+    out = "".join(near.format(k=k) + mean.format(k=k, next=k + 1) for k in range(rounds))
+    return out + near.format(k=rounds)
+
+
+_OP12 = f"""
+WITH kept AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+part AS MATERIALIZED (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM kept),
+chosen AS (
+  SELECT v, row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS c FROM kept
+  QUALIFY c < 40
+),
+centroid0 AS MATERIALIZED (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM chosen),
+{_rounds(5)},
+mark AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM centroid5 GROUP BY c)
+SELECT vec_id, cluster::INT AS cluster, distance,
+       sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM near5 JOIN mark ON mark.c = near5.cluster
+"""
+
+_OP13 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {_words('text')} AS w FROM documents
+),
+failing AS (
+  SELECT d.doc_id, part, coalesce(quality = 1, FALSE) AS good, coalesce(toxic = 1, FALSE) AS toxic,
+         CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * {_kept('A-Z')} > 10 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM d LEFT JOIN labels ON labels.doc_id = d.doc_id
+),
+like_ AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM failing GROUP BY part, fails
+),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+),
+seen AS (
+  SELECT *, contains(fails, own) AS here, translate(fails, before, '') <> fails AS earlier
+  FROM like_, steps
+),
+counted AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (WHERE NOT here AND NOT earlier), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (WHERE here AND NOT earlier), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (WHERE here AND earlier), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (WHERE fails = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE here AND NOT earlier), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE here AND NOT earlier), 0)::BIGINT AS toxic_lost
+  FROM seen GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley
+FROM counted
+"""
+
 SQL = {
     "op1_distribution_divergence": _OP1,
     "op2_spherical_caps": _OP2,
     "op5_setsketch": _OP5,
     "op7_line_windows": _OP7,
+    "op11_zstd_archives": _OP11,
+    "op12_incremental_distances": _OP12,
+    "op13_filter_audit": _OP13,
 }
 
 

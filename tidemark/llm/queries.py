@@ -7,7 +7,9 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    audit,
     binary,
+    centroids,
     cones,
     counting,
     forced,
@@ -17,6 +19,7 @@ from tidemark.llm import (
     rules,
     secrets,
     setsketch,
+    warc,
 )
 
 QUERIES = {}
@@ -150,3 +153,18 @@ def _(s, d):
 @query("op10_rule_ensemble")
 def _(s, d):
     return rules.score_documents(table(s, d, "documents"), table(s, d, "labels"))
+
+
+@query("op11_zstd_archives")
+def _(s, d):
+    return warc.archive_pages(table(s, d, "pages"))
+
+
+@query("op12_incremental_distances")
+def _(s, d):
+    return centroids.clustered(table(s, d, "embeddings"))
+
+
+@query("op13_filter_audit")
+def _(s, d):
+    return audit.audit(table(s, d, "documents"), table(s, d, "labels"))
