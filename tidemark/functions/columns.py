@@ -71,13 +71,37 @@ def total_money(value, scale: int = 2) -> Column:
     return total_units(units(value, scale), scale)
 
 
-def total(value) -> Column:
-    """Sum of a metric that need not be money, as a double; NaN stays visible.
+_FINE = 2.0**40
 
-    Thirteen significant digits: what lies below depends on the order of adding.
+
+def total(value, money: bool = False) -> Column:
+    """Sum as a double that does not depend on the order of adding.
+
+    ``money`` sums exact cents. Other values are cut into a whole part, 40 binary
+    digits after the point, and a rest. The first two are summed exactly; the rest,
+    below 1e-12 a value, keeps thirteen digits of its own. A sum with a value of 1e15
+    and more is a plain one of thirteen digits, and NaN and infinity stay visible.
     """
-    added = F.sum(_col(value).cast("double"))
-    return F.when(added.isNotNull(), F.format_string("%.12e", added).cast("double"))
+    if money:
+        return as_double(total_money(value))
+    x = _col(value).cast("double")
+    small = F.abs(x) < 1e15  # neither NaN nor infinite
+    whole = F.when(small, x.cast("long")).otherwise(0)
+    scaled = F.when(small, (x - whole) * _FINE).otherwise(0.0)
+    fine = scaled.cast("long")
+    exact = F.try_add(
+        F.try_multiply(F.sum(whole.cast("decimal(16,0)")), F.lit(Decimal(2**40))),
+        F.sum(fine.cast("decimal(13,0)")),
+    ).cast("double")
+    rest = _digits(F.sum(scaled - fine))
+    added = F.sum(x)
+    return F.when(F.max(F.abs(x)) < 1e15, F.coalesce(exact / _FINE + rest / _FINE, _digits(added))).otherwise(
+        F.when(added.isNotNull(), _digits(added))
+    )
+
+
+def _digits(number: Column) -> Column:
+    return F.format_string("%.12e", number).cast("double")
 
 
 def as_double(value) -> Column:

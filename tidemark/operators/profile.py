@@ -140,33 +140,54 @@ def profile_numeric(
 
 
 def profile_categorical(df: DataFrame, columns: list[str], top: int = 10) -> DataFrame:
-    """Cardinality and the most frequent values with their share, per column."""
-    return reduce(
-        lambda a, b: a.unionByName(b), [_categorical(df, c, top) for c in columns]
-    )
+    """Cardinality and the most frequent values with their share, per column.
+
+    All columns are counted as (column, value) rows in one pass. Of these a task hands
+    on no more than ``top`` rows a column; a column without any value is one row with
+    cardinality 0.
+    """
+    return top_values(count_values(df, columns), columns, top)
 
 
-def _categorical(df: DataFrame, column: str, top: int) -> DataFrame:
-    counted = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("string").alias("value"))
+def count_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, value, n): how often each column holds each value, also none."""
+    cells = F.array(
+        *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
+    )
+    return (
+        df.select(F.inline(cells))
+        .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    whole = counted.agg(
-        F.struct(F.count(F.lit(1)).alias("cardinality"), F.sum("n").alias("rows"))
-    ).scalar()
-    # a column without any value is one row with cardinality 0
-    name = df.sparkSession.range(1).select(F.lit(True).alias("_on"))
-    frequent = counted.orderBy(F.desc("n"), "value").limit(top).withColumn("_on", F.lit(True))
+
+
+def top_values(counted: DataFrame, columns: list[str], top: int) -> DataFrame:
+    """The profile of columns from their counted values."""
+    listed = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(i).alias("_at")) for i, c in enumerate(columns)])
+    empty = counted.sparkSession.range(1).select(F.inline(listed))
+    known = F.col("value").isNotNull()
+    whole = (
+        counted.groupBy("column_name")
+        .agg(F.count("value").alias("cardinality"), F.sum(F.when(known, F.col("n"))).alias("rows"))
+    )
+    # the count of nulls ranks last and goes afterwards: a filter before would reach the
+    # source, which could then not be shared with the totals
+    frequent = Window.partitionBy("column_name").orderBy(~known, F.desc("n"), "value")
+    best = (
+        counted.withColumn("_place", F.row_number().over(frequent))
+        .where((F.col("_place") <= top) & known)
+    )
+    # one row a column on either side
     return (
-        name.join(frequent, "_on", "left")
-        .withColumn("_whole", whole)
+        empty.join(whole, "column_name", "left")
+        .join(best, "column_name", "left")
+        .orderBy("_at", "_place")
         .select(
-            F.lit(column).alias("column_name"),
-            F.col("_whole.cardinality").alias("cardinality"),
+            "column_name",
+            F.coalesce("cardinality", F.lit(0)).alias("cardinality"),
             "value",
             F.coalesce("n", F.lit(0)).alias("n"),
-            percent("n", "_whole.rows", 1).alias("share_pct"),
+            percent("n", "rows", 1).alias("share_pct"),
         )
     )
 
@@ -190,7 +211,9 @@ def profile_corr(df: DataFrame, columns: list[str], min_r: float = 0.5) -> DataF
     )
 
 
-def weekly_trend(df: DataFrame, ts: str, metric: str | None = None) -> DataFrame:
+def weekly_trend(
+    df: DataFrame, ts: str, metric: str | None = None, money: bool = False
+) -> DataFrame:
     """Weekly value, count and value per row over a gap-free calendar, each with
     its change; the change after a zero, and of the first week, is zero."""
     by_week = Window.orderBy("week")  # one row per week
@@ -201,7 +224,7 @@ def weekly_trend(df: DataFrame, ts: str, metric: str | None = None) -> DataFrame
         return round_to(F.coalesce(moved, F.lit(0.0)), 1).alias(f"{name}_change_pct")
 
     return (
-        weekly_series(df, ts, metric)
+        weekly_series(df, ts, metric, money)
         .withColumn("count", F.col("n").cast("double"))
         .withColumn(
             "per_unit",

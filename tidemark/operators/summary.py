@@ -31,41 +31,41 @@ def dataset_summary(
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
-def metric_by_segment(df: DataFrame, metric: str, segment: str) -> DataFrame:
+def metric_by_segment(df: DataFrame, metric: str, segment: str, money: bool = False) -> DataFrame:
     """Count, mean, sum, share of the total and distance from the overall mean
     per segment, and the gap between the largest and the smallest mean.
 
-    The source is read once; the overall figures come from the segments' rows in one
-    window, so a segment column is one of few values, as in any report by segment.
+    The overall figures are one row added up from the segments' rows. Both readings of
+    the segments share one shuffle, so the source is read once, and a segment column of
+    any number of values stays distributed. ``money`` sums exact cents.
     """
     means = (
         df.where(F.col(metric).isNotNull())
         .groupBy(segment)
-        .agg(F.count(F.lit(1)).alias("n"), total(metric).alias("total"))
+        .agg(F.count(F.lit(1)).alias("n"), total(metric, money).alias("total"))
         .withColumn("_mean", F.col("total") / F.col("n"))
     )
-    everything = Window.partitionBy()  # one row per segment
-    return (
-        means.withColumns(
-            {
-                "_total": F.sum("total").over(everything),
-                "_n": F.sum("n").over(everything),
-                "_gap": F.max("_mean").over(everything)
-                / F.nullif(F.min("_mean").over(everything), F.lit(0.0)),
-            }
+    overall = means.agg(
+        F.struct(
+            total("total").alias("total"),
+            F.sum("n").alias("n"),
+            (F.max("_mean") / F.nullif(F.min("_mean"), F.lit(0.0))).alias("gap"),
         )
+    ).scalar()
+    return (
+        means.withColumn("_all", overall)
         .select(
             segment,
             "n",
             round_to("_mean", 4).alias("mean"),
             round_to("total", 2).alias("total"),
-            percent("total", "_total", 1).alias("share_pct"),
+            percent("total", "_all.total", 1).alias("share_pct"),
             round_to(
-                (F.col("_mean") / F.nullif(F.col("_total") / F.col("_n"), F.lit(0.0)) - 1.0)
+                (F.col("_mean") / F.nullif(F.col("_all.total") / F.col("_all.n"), F.lit(0.0)) - 1.0)
                 * 100.0,
                 1,
             ).alias("vs_overall_pct"),
-            round_to("_gap", 4).alias("gap"),
+            round_to("_all.gap", 4).alias("gap"),
         )
         .orderBy(F.desc("total"), segment)
     )
@@ -82,10 +82,13 @@ def composition(df: DataFrame, row_dim: str, col_dim: str) -> DataFrame:
     )
 
 
-def weekly_series(df: DataFrame, ts: str, metric: str | None = None) -> DataFrame:
+def weekly_series(
+    df: DataFrame, ts: str, metric: str | None = None, money: bool = False
+) -> DataFrame:
     """Week (ending Sunday), value and count for every week of the range; weeks
-    without rows are zero. Without a metric the value is the count."""
-    value = F.count(F.lit(1)).cast("double") if metric is None else total(metric)
+    without rows are zero. Without a metric the value is the count; ``money`` sums
+    exact cents."""
+    value = F.count(F.lit(1)).cast("double") if metric is None else total(metric, money)
     weeks = (
         df.where(F.col(ts).isNotNull())
         .groupBy(week_ending_sunday(ts).alias("week"))
@@ -100,12 +103,14 @@ def weekly_series(df: DataFrame, ts: str, metric: str | None = None) -> DataFram
 
 
 def weekly_resample(orders: DataFrame, ts: str = "order_ts", measure: str = "amount") -> DataFrame:
-    """Weekly revenue and orders, change against the week before, and the peak."""
+    """Weekly revenue and orders, change against the week before, and the peak.
+
+    The measure is money: cents are exact, whatever the partitioning."""
     by_week = Window.orderBy("week")  # one row per week
     by_size = Window.orderBy(F.desc("value"), "week")
     previous = F.lag("value").over(by_week)
     return (
-        weekly_series(orders, ts, measure)
+        weekly_series(orders, ts, measure, money=True)
         .withColumns(
             {"_prev": previous, "is_peak": F.row_number().over(by_size) == 1}
         )

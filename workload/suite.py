@@ -469,7 +469,9 @@ def _(s, d):
 
 @query("e06_metric_by_segment")
 def _(s, d):
-    return summary.metric_by_segment(roles.orders(s, d), "amount", "product_category")
+    return summary.metric_by_segment(
+        roles.orders(s, d), "amount", "product_category", money=True
+    )
 
 
 @query("e07_conversion_by_channel")
@@ -648,13 +650,13 @@ def _(s, d):
 
 @query("p07_weekly_trend")
 def _(s, d):
-    return profile.weekly_trend(roles.orders(s, d), "order_ts", "amount")
+    return profile.weekly_trend(roles.orders(s, d), "order_ts", "amount", money=True)
 
 
 @query("p07_weekly_trend_sparse")
 def _(s, d):
     # new subscriptions become rare towards the end, so weeks stay empty
-    return profile.weekly_trend(roles.subs(s, d), "started_at", "amount")
+    return profile.weekly_trend(roles.subs(s, d), "started_at", "amount", money=True)
 
 
 @query("p08_findings")
@@ -762,7 +764,7 @@ def _(s, d):
 @query("i09_clean_purchases")
 def _(s, d):
     return (
-        clean_purchases(roles.lines(s, d))
+        clean_purchases(roles.lines(s, d, country=False))
         .groupBy("customer_id")
         .agg(
             F.count(F.lit(1)).alias("purchase_lines"),
