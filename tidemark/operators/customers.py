@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from tidemark.functions import (
     total_money,
 )
 from tidemark.operators.sessions import long_form
-from tidemark.plans import global_rank
+from tidemark.plans import border_rows, global_rank, is_after, sortable, tile_ends, with_tiles
 
 
 def repeat_purchase(
@@ -126,36 +128,29 @@ def rfm(
 
     Recency (days before the last order in the data) and spend are NTILE
     buckets, ties broken by user id; frequency is scored by value, since most
-    buyers order once and a bucket border would fall inside that tie.
+    buyers order once and a bucket border would fall inside that tie. The bucket
+    borders are selected by counting; buyers are neither sorted nor written.
     """
     folded = orders.groupBy(F.col(user).alias("user_id")).agg(
-        F.max(day(ts)).alias("_last"),
-        F.count(F.lit(1)).alias("frequency"),
-        total_money(amount).alias("monetary"),
-    )
-    buyers = (
-        folded.withColumn("_newest", folded.agg(F.max("_last")).scalar())
-        .select(
-            "user_id",
-            day_gap("_last", "_newest").alias("recency_days"),
-            "frequency",
-            "monetary",
-        )
+        F.struct(
+            F.max(day(ts)).alias("_last"),
+            F.count(F.lit(1)).alias("frequency"),
+            total_money(amount).alias("monetary"),
+        ).alias("b")
     )
-    by_recency = global_rank(
-        buyers, [F.desc("recency_days"), F.col("user_id")], "_r", "_n", slices
-    ).withColumn("r", ntile_bucket(F.col("_r"), F.col("_n"), buckets))
-    by_spend = global_rank(
-        by_recency.drop("_r", "_n"), [F.asc("monetary"), F.col("user_id")], "_m", "_n", slices
-    ).withColumn("m", ntile_bucket(F.col("_m"), F.col("_n"), buckets))
+    # unpacked by a generator, the fold keeps all its columns in every reading, so that
+    # the readings can share its shuffle
+    buyers = folded.select("user_id", F.inline(F.array("b")))
+    by_spend = with_tiles(buyers, {"r": "_last", "m": "monetary"}, "user_id", buckets, slices)
+    newest = buyers.agg(F.max("_last")).scalar()
     f = (
         F.when(F.col("frequency") >= 3, 5).when(F.col("frequency") == 2, 4).otherwise(1)
     ).cast("long")
     names = F.create_map(*(F.lit(x) for cell in SEGMENTS.items() for x in cell))
     segment = names[F.concat_ws("/", _level("r", buckets), _level("m", buckets))]
-    return by_spend.select(
+    return by_spend.withColumn("_newest", newest).select(
         "user_id",
-        "recency_days",
+        day_gap("_last", "_newest").alias("recency_days"),
         "frequency",
         as_double("monetary").alias("monetary"),
         "r",
@@ -215,15 +210,19 @@ def pareto(
 
     The cumulative share adds the *rounded* shares.
     """
-    buyers = orders.groupBy(user).agg(total_money(amount).alias("revenue"))
-    ranked = global_rank(buyers, [F.desc("revenue"), F.col(user)], "_g", "_n", slices)
+    buyers = (
+        orders.groupBy(user)
+        .agg(total_money(amount).alias("revenue"))
+        # highest first, without any amount last
+        .withColumn("_order", F.coalesce(-F.col("revenue"), F.lit(Decimal("9" * 28))))
+    )
+    ranked = with_tiles(buyers, {"decile": "_order"}, user, buckets, slices)
     everything = Window.partitionBy()
     upto = Window.orderBy("decile").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     return (
-        ranked.withColumn("decile", ntile_bucket(F.col("_g"), F.col("_n"), buckets))
-        .groupBy("decile")
+        ranked.groupBy("decile")
         .agg(F.count(F.lit(1)).alias("buyers"), F.sum("revenue").alias("total"))
         .select(
             "decile",
@@ -251,6 +250,40 @@ def concentration(
     Decile and fifth cut by NTILE; the top 15 percent by PERCENT_RANK, where
     customers with equal revenue share a rank and are in or out together.
     """
+    rows = customers.select(key, measure, (-F.col(measure)).alias("_order"))
+    if not sortable(rows, key, measure):
+        return _ranked_concentration(customers, measure, key, slices)
+    first, second = tile_ends(10)[:2]
+    borders = border_rows(rows, ["_order"], key, [first, second, (0.15, _last_below_15)])
+    value = F.col(measure)
+    total = F.sum(value)
+
+    def at(i: int) -> Column:
+        return F.get(F.filter("_b._order", lambda b: b["i"] == i), F.lit(0))
+
+    def top(border):
+        return percent(F.sum(F.when(~is_after(border, "_order", key), value)), total, 2)
+
+    return rows.select("*", F.inline(F.array(F.struct(borders.alias("_b"))))).agg(
+        top(at(1)).alias("top_decile_pct"),
+        percent(F.sum(F.when(F.col("_order") <= at(3)["value"], value)), total, 2).alias("top_15_pct"),
+        top(at(2)).alias("top_20_pct"),
+    )
+
+
+def _last_below_15(n: Column) -> Column:
+    """The last rank, counted from 1, whose PERCENT_RANK is at most 0.15."""
+    others = F.greatest(n - 1, F.lit(1))
+    near = F.floor(others * 0.15)
+    return (
+        F.when((near + 1) / others <= 0.15, near + 1).when(near / others <= 0.15, near).otherwise(near - 1) + 1
+    )
+
+
+def _ranked_concentration(
+    customers: DataFrame, measure: str, key: str, slices: int | None
+) -> DataFrame:
+    """The same by a distributed sort, for keys that are neither numbers nor dates."""
     ranked = global_rank(customers, [F.desc(measure), F.col(key)], "_g", "_n", slices)
     value = F.col(measure)
     decile = ntile_bucket(F.col("_g"), F.col("_n"), 10)
