@@ -367,7 +367,9 @@ def _write(folder: str, archive_bytes: int, level: int):
                 row = {c: batch.column(c)[k] for c in batch.schema.names}
                 if writer is None:
                     name = f"{uuid.uuid4().hex}.warc.zst"
-                    writer = ArchiveWriter(where.open_output_stream(f"{root}/{name}"), level)
+                    # as it is: by its name the file would be compressed once more
+                    stream = where.open_output_stream(f"{root}/{name}", compression=None)
+                    writer = ArchiveWriter(stream, level)
                 page, first = row["page_id"].as_py(), row["refers_to"].as_py()
                 writer.add(
                     record_bytes(page, row["url"].as_py(), row["payload"].as_py(), first, row["revisit"].as_py())
@@ -404,7 +406,7 @@ def _read(folder: str, strict: bool, whole: bool, schema: pa.Schema, rows: int =
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 held = []
-                with where.open_input_stream(f"{root}/{path}") as stream:
+                with where.open_input_stream(f"{root}/{path}", compression=None) as stream:
                     for position, fields in read_frames(stream):
                         if strict and fields["wrong"]:
                             raise Malformed(f"{path} at byte {position}: {fields['wrong']}")
