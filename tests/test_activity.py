@@ -6,6 +6,8 @@ from datetime import date, datetime, timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from tests.conftest import by, dicts, rows
 from tidemark.operators import activity, funnel, retention, sessions
@@ -206,6 +208,50 @@ def test_lifecycle_states(make):
 # ----------------------------------------------------------------- sessions
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_a_slot_with_a_third_of_all_events_is_dealt_out(spark, adaptive):
+    """One user has a third of the events within one gap of days, others a few each."""
+    n = 60_000
+    hot = F.col("id") < n // 3
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    seconds = F.when(hot, F.col("id") % 80_000).otherwise(F.col("id") % 37 * 400_000)
+    events = spark.range(n).select(
+        F.col("id").alias("event_id"),
+        F.when(hot, 7).otherwise(1000 + F.col("id") % 5000).cast("long").alias("user_id"),
+        (start + F.make_dt_interval(secs=seconds)).alias("event_time"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = sessions.sessionize(events, 3 * 86_400)
+        share = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        # the count of sessions by comparing every event with the one before
+        before = F.lag("event_time").over(Window.partitionBy("user_id").orderBy("event_time"))
+        new = before.isNull() | (F.col("event_time") - before > F.expr("INTERVAL '3' DAY"))
+        upto = Window.partitionBy("user_id").orderBy("event_time").rangeBetween(Window.unboundedPreceding, 0)
+        plain = events.withColumn("new", new.cast("int")).select("event_id", F.sum("new").over(upto).alias("no"))
+        assert got.join(plain, "event_id").where("session_no <=> no").count() == n
+        if adaptive == "false":
+            assert share < 2 * n / 16
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("BroadcastExchange") == 1  # of fewer than HOT rows
+            assert plan.count("Range (") == 2  # the slots once, the events once
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_events_with_clashing_columns(make):
+    e = make(
+        "user_id BIGINT, event_time TIMESTAMP_NTZ, _user INT, _slot INT, _part INT, _parts INT, _no INT",
+        [(1, "2024-01-01", 1, 2, 3, 4, 5), (1, "2024-01-02", 1, 2, 3, 4, 5)],
+    )
+    got = rows(sessions.sessionize(e).orderBy("event_time"))
+    assert [(r[2:]) for r in got] == [(1, 2, 3, 4, 5, 1), (1, 2, 3, 4, 5, 2)]
+
+
 def test_a_gap_of_exactly_the_limit_stays_in_the_session(make):
     times = ["10:00:00", "10:29:59", "10:59:59", "11:30:00", "11:30:00"]
     e = acts(make, [(1, f"2024-01-01 {t}") for t in times])

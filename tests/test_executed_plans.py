@@ -6,16 +6,18 @@ from tests.conftest import SMALL
 from workload.suite import QUERIES
 
 BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas")
-# queries that write tables while their frame is built
+# queries that run jobs while their frame is built, or several readings in one
 EAGER = [
     "q15_distribution",
     "q20_rfm",
     "q23_pareto",
     "e12_concentration",
     "e15_shape",
+    "p02_quality",
     "p03_numeric",
     "p08_findings",
     "m07_mart_csv",
+    "m07_mart_tables",
     "i05_csv_source",
     "i06_csv_text",
     "i07_json_sink",

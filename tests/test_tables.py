@@ -1,6 +1,8 @@
 """Retail lines, data tests, summaries, profiles, sources and sinks."""
 
 import json
+import math
+import random
 from datetime import datetime
 from pathlib import Path
 
@@ -11,6 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import by, dicts, rows
+from tests.test_executed_plans import executions
+from tidemark.functions import total
 from tidemark.operators import checks, models, profile, retail, summary
 from tidemark.sources import (
     clean_invoice_lines,
@@ -129,6 +133,55 @@ def test_children_before_their_parent_are_counted(make):
 # ------------------------------------------------------------------ summaries
 
 
+@pytest.mark.parametrize("partitions", [1, 200])
+def test_money_is_exact_beyond_thirteen_digits(spark, partitions):
+    amounts = [900_000_000_000.01, 800_000_000_000.02] + [0.01] * 998
+    data = [("2024-01-01 10:00:00", x) for x in amounts]
+    df = spark.createDataFrame(data, "t STRING, amount DOUBLE").selectExpr("cast(t AS timestamp_ntz) AS t", "amount")
+    df = df.repartition(partitions)
+    assert rows(summary.weekly_resample(df, "t").select("revenue")) == [(1_700_000_000_010.01,)]
+    held = df.selectExpr("'a' AS s", "amount")
+    (got,) = dicts(summary.metric_by_segment(held, "amount", "s", money=True))
+    assert got["total"] == 1_700_000_000_010.01
+    cents = spark.range(0, 1000, 1, partitions).select(F.lit(999_999_999_999.99).alias("x"))
+    assert rows(cents.agg(total("x", money=True))) == [(999_999_999_999_990.0,)]
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-9, 1e9, 1e14])
+def test_other_sums_do_not_depend_on_the_order(spark, scale):
+    rng = random.Random(8)
+    values = [rng.uniform(-1, 3) * scale for _ in range(5000)]
+    want = math.fsum(values)
+    got = set()
+    for seed, partitions in ((1, 1), (2, 16), (3, 200)):
+        random.Random(seed).shuffle(values)
+        df = spark.createDataFrame([(x,) for x in values], "x DOUBLE").repartition(partitions)
+        got.add(df.agg(total("x")).first()[0])
+    (only,) = got
+    assert only == pytest.approx(want, rel=1e-12 if scale < 1e-6 else 1e-15)
+
+
+def test_whole_sums_keep_all_digits(spark):
+    df = spark.createDataFrame([(float(2**53),), (1.0,), (1.0,), (-0.25,), (0.25,)], "x DOUBLE").repartition(3)
+    assert rows(df.agg(total("x"))) == [(9.007199254740994e15,)]
+    assert rows(df.limit(0).agg(total("x"))) == [(None,)]
+
+
+def test_a_million_segments_need_no_single_task(spark):
+    """Each shuffle of the plan is by segment, except that of one row per task."""
+    df = spark.range(0, 200_000, 1, 8).select(F.xxhash64("id").alias("g"), F.lit(1.0).alias("x"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = summary.metric_by_segment(df, "x", "g")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "Window" not in plan and plan.count("Range (") == 1 and "ReusedExchange" in plan
+    single = plan.split("Exchange SinglePartition")[1:]
+    assert len(single) == 1 and "HashAggregate(keys=[]" in single[0].split("\n")[1]
+    assert got.agg(F.count("n"), F.max("share_pct"), F.max("gap")).first() == (200_000, 0.0, 1.0)
+
+
 def test_metric_by_segment(make):
     df = make("g STRING, x DOUBLE", [("a", 1.0), ("a", 3.0), ("b", 4.0), ("b", None)])
     got = rows(summary.metric_by_segment(df, "x", "g"))
@@ -228,6 +281,49 @@ def test_quality(make):
     assert got[("constant", "a")][0] == 0 and got[("constant", "b")][0] == 1
 
 
+def test_copies_of_rows_of_any_kind(spark):
+    nan = float("nan")
+    schema = "a INT, b INT, x DOUBLE, l ARRAY<INT>, s STRUCT<p: INT, q: INT>"
+    data = [
+        (1, None, nan, [1, None], (1, None)),
+        (1, None, nan, [1, None], (1, None)),  # a copy
+        (None, 1, nan, [1, None], (1, None)),
+        (1, None, nan, [None, 1], (1, None)),  # meets the first by its hash, and is no copy
+        (1, None, nan, [1, None], (None, 1)),
+        (1, None, 0.0, [], None),
+        (1, None, -0.0, [], None),  # a copy
+        (1, None, None, [], None),
+        (1, None, None, None, None),
+        (None, None, None, None, None),
+        (None, None, None, None, None),  # a copy
+    ]
+    df = spark.createDataFrame(data, schema)
+    alike = df.groupBy(*df.columns).count().count()
+    got = {(r[0], r[1]): r[2:] for r in rows(profile.profile_quality(df))}
+    assert got[("duplicate_rows", None)] == (len(data) - alike, 27.3) == (3, 27.3)
+    assert rows(profile.profile_quality(df.limit(0)))[0][2] == 0
+
+
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_meeting_hashes_are_confirmed(spark, monkeypatch, most):
+    monkeypatch.setattr(profile, "MET_BROADCAST", most)  # by broadcast, and by a join
+    monkeypatch.setattr(
+        profile, "row_hashes", lambda df: [(F.col("k") % 3).alias("h1"), F.lit(0).cast("long").alias("h2")]
+    )
+    df = spark.range(100).selectExpr("id DIV 2 AS k", "'x' AS row")
+    got = {(r[0], r[1]): r[2:] for r in rows(profile.profile_quality(df))}
+    assert got[("duplicate_rows", None)] == (50, 50.0)
+
+
+def test_rows_without_copies_are_not_moved(spark):
+    before = executions(spark)
+    df = spark.range(1000).select("id", F.repeat(F.lit("wide"), 100).alias("wide_text"))
+    rows(profile.profile_quality(df))
+    for plan in (p for k, p in executions(spark).items() if k not in before):
+        for line in plan.split("\n"):
+            assert not ("hashpartitioning" in line and "wide_text" in line)
+
+
 def test_categorical_and_correlation(make):
     df = make("c STRING, x DOUBLE, y DOUBLE", [("p", 1.0, 2.0), ("p", 2.0, 4.0), ("q", 3.0, 6.0)])
     assert rows(profile.profile_categorical(df, ["c"], top=1)) == [("c", 2, "p", 2, 66.7)]
@@ -238,6 +334,37 @@ def test_categorical_and_correlation(make):
     ]
 
 
+def test_findings_read_their_source_once(spark, tmp_path):
+    """Twice where rows meet by their hashes."""
+    path = str(tmp_path / "source")
+    day = F.lit("2024-01-01").cast("date")
+    clean = spark.range(400).select(
+        "id", (F.col("id") % 7).cast("double").alias("x"),
+        F.when(F.col("id") % 9 > 0, F.col("id") % 3).cast("string").alias("g"),
+        F.date_add(day, (F.col("id") % 90).cast("int")).alias("t"),
+    )
+    for df, readings in ((clean, 1), (clean.union(clean.limit(3)), 2)):
+        df.write.mode("overwrite").parquet(path)
+        before = executions(spark)
+        found = profile.profile_findings(spark.read.parquet(path), ["x"], ["g"], "x", ["g"], "t")
+        kinds = {r.kind for r in found.collect()}
+        assert ("duplicates" in kinds) == (readings == 2)
+        ran = [p for k, p in executions(spark).items() if k not in before]
+        assert sum(f"file:{path}]" in p for p in ran) == readings  # jobs that read it
+        for plan in ran:
+            scans = {x for x in plan.split("\n\n") if "Scan parquet" in x and f"file:{path}]" in x}
+            assert len(scans) <= 2 and "Expand" not in plan  # of the plan before and after
+
+
+def test_findings_of_columns_without_values(spark):
+    df = spark.createDataFrame([(None, None, None)] * 3, "x DOUBLE, g STRING, t DATE")
+    got = by(profile.profile_findings(df, ["x"], ["g"], "x", ["g"], "t"), "kind")
+    assert got["nulls"]["value"] == 100.0 and got["duplicates"]["value"] == 2
+    assert set(got) == {"nulls", "duplicates"}
+    assert rows(profile.profile_findings(df.limit(0), ["x"], ["g"], "x", ["g"], "t")) == []
+    assert "weekly_jump" not in by(profile.profile_findings(df, [], []), "kind")
+
+
 def test_findings_blame_the_flagged_week(make):
     flat = [(f"2024-0{m}-{d:02d}", 10.0, "a") for m in (1, 2) for d in (1, 8, 15, 22)]
     df = make("t DATE, x DOUBLE, g STRING", flat + [("2024-03-04", 100.0, "b")])
@@ -321,6 +448,60 @@ def test_json_writes_nan_as_null(spark, tmp_path):
     assert [json.loads(line).get("x") for line in text.splitlines()] == [None, 1.0]
 
 
+def test_a_failing_run_leaves_the_old_mart(spark, make, tmp_path):
+    path = str(tmp_path / "mart")
+    good = make("k BIGINT, x DOUBLE", [(1, 1.0), (2, 2.0)])
+    models.write_mart(good, path)
+    bad = good.withColumn("x", F.raise_error(F.lit("broken on purpose")).cast("double"))
+    with pytest.raises(Exception, match="broken on purpose"):
+        models.write_mart(bad, path)
+    assert sorted(rows(read_table(spark, path))) == [(1, 1.0), (2, 2.0)]
+    # a mart may be built from itself
+    models.write_mart(read_table(spark, path).withColumn("x", F.col("x") + 1), path)
+    assert sorted(rows(spark.read.parquet(path))) == [(1, 2.0), (2, 3.0)]
+    assert [p.name for p in tmp_path.iterdir()] == ["mart"]
+
+
+def test_models_become_views_and_tables_by_config(spark, make, tmp_path):
+    source = {"rows": [(1, 1.0), (2, 2.0)]}
+    wanted = {
+        "stg_x": lambda s: make("k BIGINT, x DOUBLE", source["rows"]),
+        "fct_x": lambda s: s.table("stg_x").agg(F.sum("x").alias("total")),
+    }
+    config = {"stg": "view", "fct": "table"}
+
+    def kinds():
+        return {t.name: t.isTemporary for t in spark.catalog.listTables() if t.name in wanted}
+
+    try:
+        built = models.materialise(spark, wanted, config, f"file:{tmp_path}")
+        assert kinds() == {"stg_x": True, "fct_x": False}
+        assert rows(built["fct_x"]) == [(3.0,)]
+        first = list((tmp_path / "fct_x").iterdir())
+        source["rows"] = [(1, 5.0)]
+        models.materialise(spark, wanted, config, f"file:{tmp_path}")
+        assert rows(spark.table("fct_x")) == [(5.0,)]
+        (second,) = (tmp_path / "fct_x").iterdir()  # one version stays
+        assert second not in first
+        broken = {"fct_x": lambda s: s.table("stg_x").select(F.raise_error(F.lit("broken")).alias("total"))}
+        with pytest.raises(Exception, match="broken"):
+            models.materialise(spark, broken, config, f"file:{tmp_path}")
+        assert rows(spark.table("fct_x")) == [(5.0,)] and list((tmp_path / "fct_x").iterdir()) == [second]
+        # another schema, and a layer of another kind
+        wider = {"fct_x": lambda s: s.table("stg_x")}
+        assert rows(models.materialise(spark, wider, config, f"file:{tmp_path}")["fct_x"]) == [(1, 5.0)]
+        models.materialise(spark, {"fct_x": wanted["stg_x"]}, {"fct_x": "view"}, f"file:{tmp_path}")
+        assert kinds()["fct_x"]
+        models.materialise(spark, wanted, {"stg": "view", "fct_x": "table"}, f"file:{tmp_path}")
+        assert not kinds()["fct_x"] and rows(spark.table("fct_x")) == [(5.0,)]
+    finally:
+        for name in wanted:
+            spark.catalog.dropTempView(name)
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    with pytest.raises(ValueError):
+        models.materialise(spark, wanted, {"stg": "view"}, f"file:{tmp_path}")
+
+
 def test_mart_can_be_partitioned(spark, make, tmp_path):
     df = make("m DATE, x DOUBLE", [("2024-01-01", 1.0), ("2024-02-01", 2.0)])
     path = str(tmp_path / "mart")

@@ -79,23 +79,23 @@ def total(value, money: bool = False) -> Column:
 
     ``money`` sums exact cents. Other values are cut into a whole part, 40 binary
     digits after the point, and a rest. The first two are summed exactly; the rest,
-    below 1e-12 a value, keeps thirteen digits of its own. A sum with a value of 1e15
+    below 1e-12 a value, keeps thirteen digits of its own. A sum with a value of 1e18
     and more is a plain one of thirteen digits, and NaN and infinity stay visible.
     """
     if money:
         return as_double(total_money(value))
     x = _col(value).cast("double")
-    small = F.abs(x) < 1e15  # neither NaN nor infinite
+    small = F.abs(x) < 1e18  # neither NaN nor infinite
     whole = F.when(small, x.cast("long")).otherwise(0)
     scaled = F.when(small, (x - whole) * _FINE).otherwise(0.0)
     fine = scaled.cast("long")
     exact = F.try_add(
-        F.try_multiply(F.sum(whole.cast("decimal(16,0)")), F.lit(Decimal(2**40))),
+        F.try_multiply(F.sum(whole.cast("decimal(18,0)")), F.lit(Decimal(2**40))),
         F.sum(fine.cast("decimal(13,0)")),
     ).cast("double")
     rest = _digits(F.sum(scaled - fine))
     added = F.sum(x)
-    return F.when(F.max(F.abs(x)) < 1e15, F.coalesce(exact / _FINE + rest / _FINE, _digits(added))).otherwise(
+    return F.when(F.max(F.abs(x)) < 1e18, F.coalesce(exact / _FINE + rest / _FINE, _digits(added))).otherwise(
         F.when(added.isNotNull(), _digits(added))
     )
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import percent, round_to
-from tidemark.operators.summary import metric_by_segment, unbiased_skewness, weekly_series
-from tidemark.plans import exact_quantiles, value_counts
+from tidemark.functions import percent, round_to, total, week_ending_sunday
+from tidemark.operators.summary import every_week, unbiased_skewness, weekly_series
+from tidemark.plans import durable, exact_quantiles, value_counts
+
+MET_BROADCAST = 100_000  # pairs of hashes, 16 bytes each
 
 # Limits beyond which a finding is reported.
 THRESHOLDS = {
@@ -44,7 +46,8 @@ def profile_quality(df: DataFrame) -> DataFrame:
     """Duplicate rows, and per column its nulls and whether it is constant.
 
     Constant means that the smallest value is the largest, so one pass over the
-    table without any distinct count is enough.
+    table without any distinct count is enough. Duplicates are counted by hashes; see
+    :func:`count_copies`.
     """
     rows = F.count(F.lit(1))
     per_column = [
@@ -65,21 +68,51 @@ def profile_quality(df: DataFrame) -> DataFrame:
         for c in df.columns
     ]
     columns = df.agg(F.flatten(F.array(*per_column)).alias("checks")).select(F.inline("checks"))
-    copies = (
-        df.groupBy(*df.columns)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .agg(
-            F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("n"),
-            F.sum("copies").alias("rows"),
-        )
-        .select(
-            F.lit("duplicate_rows").alias("check_name"),
-            F.lit(None).cast("string").alias("column_name"),
-            "n",
-            percent("n", "rows", 1).alias("share_pct"),
-        )
+    met = durable(
+        df.select(*row_hashes(df))
+        .groupBy("h1", "h2")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+    )
+    copies = df.agg(rows.alias("rows")).select(
+        F.lit("duplicate_rows").alias("check_name"),
+        F.lit(None).cast("string").alias("column_name"),
+        F.lit(count_copies(df, met)).cast("long").alias("n"),
+        "rows",
+    )
+    return copies.select(
+        "check_name", "column_name", "n", percent("n", "rows", 1).alias("share_pct")
+    ).unionByName(columns)
+
+
+def row_hashes(df: DataFrame) -> list[Column]:
+    """128 bits of a row as ``h1`` and ``h2``; equal rows have equal ones.
+
+    A hash skips what is NULL, so which columns are goes in as well.
+    """
+    cells = [F.col(c) for c in df.columns] + [F.col(c).isNull() for c in df.columns]
+    return [F.xxhash64(*cells).alias("h1"), F.xxhash64(F.lit(7), *cells).alias("h2")]
+
+
+def count_copies(df: DataFrame, met: DataFrame) -> int:
+    """Rows that repeat an earlier one, given the hashes that several rows ``met`` in.
+
+    Rows of other hashes have no copy, so whole rows are compared only where hashes
+    met. A list of hashes that is small for certain goes to all tasks and nothing else is
+    moved; a longer one is joined.
+    """
+    hashes = met.count()
+    if not hashes:
+        return 0
+    listed = met.select("h1", "h2")
+    if hashes <= MET_BROADCAST:
+        listed = F.broadcast(listed)
+    suspects = df.select(F.struct(*df.columns).alias("row"), *row_hashes(df)).join(
+        listed, ["h1", "h2"], "left_semi"
     )
-    return copies.unionByName(columns)
+    # grouped by the columns, since their values are what must be equal
+    alike = suspects.select("row.*").groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    return alike.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).first()[0]
 
 
 def profile_numeric(
@@ -105,7 +138,36 @@ def profile_numeric(
         ).alias("m")
     ).select(F.inline("m"))
     long = doubles.unpivot([], columns, "column_name", "x")
-    counts = value_counts(long, ["column_name"], "x", slices)
+    return _numeric(moments, value_counts(long, ["column_name"], "x", slices))
+
+
+def counted_moments(counts: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, mean, std, skew) of columns from their counted values."""
+    n, rows = F.col("n"), F.sum("n")
+    means = counts.groupBy("column_name").agg(
+        (F.sum(F.col("x") * n) / rows).alias("mean"), rows.cast("double").alias("rows")
+    )
+    off = F.col("x") - F.col("mean")
+    # one row a column on the right; deviations from the mean keep their digits
+    spread = (
+        counts.join(F.broadcast(means), "column_name")
+        .groupBy("column_name", "mean", "rows")
+        .agg(F.sum(off * off * n).alias("m2"), F.sum(off * off * off * n).alias("m3"))
+    )
+    size, m2 = F.col("rows"), F.col("m2") / F.col("rows")
+    bias = F.sqrt(size * (size - 1.0)) / F.nullif(size - 2.0, F.lit(0.0))
+    listed = F.array(*(F.lit(c) for c in columns))
+    every = counts.sparkSession.range(1).select(F.explode(listed).alias("column_name"))
+    return every.join(spread, "column_name", "left").select(
+        "column_name",
+        "mean",
+        F.when(size > 1, F.sqrt(F.col("m2") / F.nullif(size - 1.0, F.lit(0.0)))).alias("std"),
+        F.when(size >= 3, F.col("m3") / size / F.nullif(F.pow(m2, 1.5), F.lit(0.0)) * bias).alias("skew"),
+    )
+
+
+def _numeric(moments: DataFrame, counts: DataFrame) -> DataFrame:
+    """The numeric profile from moments and range-partitioned counts of values."""
     quantiles = exact_quantiles(
         counts,
         ["column_name"],
@@ -216,6 +278,11 @@ def weekly_trend(
 ) -> DataFrame:
     """Weekly value, count and value per row over a gap-free calendar, each with
     its change; the change after a zero, and of the first week, is zero."""
+    return trend_of(weekly_series(df, ts, metric, money))
+
+
+def trend_of(series: DataFrame) -> DataFrame:
+    """The trend of a gap-free weekly series."""
     by_week = Window.orderBy("week")  # one row per week
 
     def change(name: str):
@@ -224,8 +291,7 @@ def weekly_trend(
         return round_to(F.coalesce(moved, F.lit(0.0)), 1).alias(f"{name}_change_pct")
 
     return (
-        weekly_series(df, ts, metric, money)
-        .withColumn("count", F.col("n").cast("double"))
+        series.withColumn("count", F.col("n").cast("double"))
         .withColumn(
             "per_unit",
             F.coalesce(F.col("value") / F.nullif(F.col("count"), F.lit(0.0)), F.lit(0.0)),
@@ -254,6 +320,9 @@ def profile_findings(
 ) -> DataFrame:
     """The findings worth a look: level, kind, subject, value and a detail."""
     limit = {**THRESHOLDS, **(thresholds or {})}
+    segments = segments or []
+    if segments and metric is None:
+        raise ValueError("segments need a metric")
 
     def finding(frame, level, kind, subject, value, detail):
         return frame.select(
@@ -265,22 +334,23 @@ def profile_findings(
         )
 
     nothing = F.lit(None).cast("string")
-    # one frame per source, so that no profile is computed twice
-    is_null = (F.col("check_name") == "nulls") & (
-        F.col("share_pct") >= limit["null_share_pct"]
-    )
-    is_copy = (F.col("check_name") == "duplicate_rows") & (
-        F.col("n") > limit["duplicate_rows"]
-    )
+    cells = profile_cells(df, numeric, categorical, segments, metric, ts)
+
+    def of(kind: str) -> DataFrame:
+        return cells.where(F.col("kind") == kind).withColumnRenamed("name", "column_name")
+
+    rows = of("row").agg(F.sum("n")).scalar()
+    share = percent("n", rows, 1)
+    copies = count_copies(df, of("row").where("n > 1"))
     found = [
         finding(
-            profile_quality(df).where(is_null | is_copy),
-            "WARN",
-            F.when(is_null, "nulls").otherwise("duplicates"),
-            F.coalesce("column_name", F.lit("rows")),
-            F.when(is_null, F.col("share_pct")).otherwise(F.col("n")),
-            nothing,
-        )
+            of("null").withColumn("share", share).where(F.col("share") >= limit["null_share_pct"]),
+            "WARN", "nulls", F.col("column_name"), F.col("share"), nothing,
+        ),
+        finding(
+            df.sparkSession.range(1).where(F.lit(copies > limit["duplicate_rows"])),
+            "WARN", "duplicates", F.lit("rows"), F.lit(copies), nothing,
+        ),
     ]
     if numeric:
         direction = F.when(F.col("skew") > 0, "right").otherwise("left")
@@ -300,7 +370,10 @@ def profile_findings(
                 (F.abs("skew") > limit["skew"]).alias("keep"),
             ),
         )
-        numbers = profile_numeric(df, numeric).select("column_name", F.inline(reasons))
+        counts = of("number").select("column_name", "x", "n", "_slice")
+        numbers = _numeric(counted_moments(counts, numeric), counts).select(
+            "column_name", F.inline(reasons)
+        )
         found.append(
             finding(
                 numbers.where("keep"),
@@ -312,35 +385,80 @@ def profile_findings(
             )
         )
     if categorical:
-        wide = df.agg(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column_name"), F.countDistinct(c).alias("n")
-                    )
-                    for c in categorical
-                ]
-            ).alias("c")
-        ).select(F.inline("c"))
+        wide = of("value").groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
         found.append(
             finding(
                 wide.where(F.col("n") > limit["cardinality"]),
                 "INFO", "cardinality", F.col("column_name"), F.col("n"), nothing,
             )
         )
-    for segment in segments or []:
-        gaps = metric_by_segment(df, metric, segment).agg(F.max("gap").alias("gap"))
+    if segments:
+        mean = F.col("total") / F.col("n")
+        gaps = of("segment").groupBy("column_name").agg(
+            round_to(F.max(mean) / F.nullif(F.min(mean), F.lit(0.0)), 4).alias("gap")
+        )
         found.append(
             finding(
                 gaps.where(F.col("gap") > limit["segment_gap"]),
-                "INFO", "segment_gap", F.lit(segment), F.col("gap"), nothing,
+                "INFO", "segment_gap", F.col("column_name"), F.col("gap"), nothing,
             )
         )
     if ts:
-        found.append(_jump_finding(weekly_trend(df, ts, metric), limit, finding))
+        value = F.col("n").cast("double") if metric is None else F.col("total")
+        weeks = of("week").select(F.col("text").cast("date").alias("week"), value.alias("value"), "n")
+        found.append(_jump_finding(trend_of(every_week(weeks)), limit, finding))
     return reduce(lambda a, b: a.unionByName(b), found)
 
 
+def profile_cells(
+    df: DataFrame,
+    numeric: list[str],
+    categorical: list[str],
+    segments: list[str],
+    metric: str | None,
+    ts: str | None,
+) -> DataFrame:
+    """Everything the findings count, from one reading of ``df``: a written table of
+    (kind, name, text, x, h1, h2, n, total, _slice).
+
+    Kinds: ``number`` values x of numeric columns, ``value`` of categorical ones,
+    ``segment`` values and ``week`` dates with the sum of the metric, ``null`` columns,
+    and ``row`` hashes. Rows of the source become keyed rows, added up map-side, and the
+    table is range-partitioned, so that quantiles find their slices in it.
+    """
+
+    def cell(kind, name, when, text=None, x=None, own=None, hashes=(None, None)):
+        fields = {"text": (text, "string"), "x": (x, "double"), "m": (own, "double")}
+        fields |= {"h1": (hashes[0], "bigint"), "h2": (hashes[1], "bigint")}
+        return F.when(
+            when,
+            F.struct(
+                F.lit(kind).alias("kind"),
+                F.lit(name).cast("string").alias("name"),
+                *((F.lit(None) if v is None else v).cast(t).alias(f) for f, (v, t) in fields.items()),
+            ),
+        )
+
+    present = {c: F.col(c).isNotNull() for c in df.columns}
+    measured = present[metric] if metric else None
+    own = F.col(metric) if metric else None
+    cells = [cell("row", None, F.lit(True), hashes=row_hashes(df))]
+    cells += [cell("null", c, ~present[c]) for c in df.columns]
+    cells += [cell("number", c, present[c], x=F.col(c)) for c in numeric]
+    cells += [cell("value", c, present[c], text=F.col(c)) for c in categorical]
+    cells += [cell("segment", c, measured, text=F.col(c), own=own) for c in segments]
+    if ts:
+        cells.append(cell("week", ts, present[ts], text=week_ending_sunday(ts), own=own))
+    key = ["kind", "name", "text", "x", "h1", "h2"]
+    counted = (
+        df.select(F.inline(F.array_compact(F.array(*cells))))
+        .groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("n"), total("m").alias("total"))
+    )
+    ranged = counted.repartitionByRange("kind", "name", "x", "text", "h1")
+    return durable(ranged.withColumn("_slice", F.spark_partition_id()))
+
+
 def _jump_finding(trend: DataFrame, limit: dict, finding) -> DataFrame:
     """The largest weekly jump of the recent weeks and what drove it: the flow
     (rows) or the behaviour (value per row) of that same week."""

@@ -4,6 +4,10 @@ Two events less than the gap apart always share a session, so events are first
 folded into per-user time slots no longer than the gap. Only slots are ordered
 per user: a user with a third of all events is reduced map-side to at most one
 row per slot, and no task ever sorts a user's raw events.
+
+Labelling the events themselves moves them once, by user and slot. A slot that holds
+more than one in ``HOT`` of all events is cut into parts of about one in ``SPREAD``,
+which get a copy of its label each.
 """
 
 from __future__ import annotations
@@ -13,15 +17,17 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import epoch_minutes, epoch_seconds, percent
 
+HOT, SPREAD = 256, 1024
+
 
 def _slot(ts, gap_seconds: int):
     return F.floor(epoch_seconds(ts) / F.lit(gap_seconds)).cast("long")
 
 
-def _session_slots(
-    events: DataFrame, gap_seconds: int, user: str, ts: str, true_id: str | None
+def _slots(
+    events: DataFrame, gap_seconds: int, user: str, ts: str, true_id: str | None = None
 ) -> DataFrame:
-    """One row per (user, slot) with the number of its session."""
+    """One row per (user, slot): first and last event, their number, and the range of ids."""
     if gap_seconds < 1:
         raise ValueError("gap_seconds must be at least 1")
     marks = [
@@ -31,12 +37,19 @@ def _session_slots(
     ]
     if true_id is not None:
         marks += [F.min(true_id).alias("min_id"), F.max(true_id).alias("max_id")]
-    slots = (
+    folded = (
         events.where(F.col(ts).isNotNull())
         .withColumn("slot", _slot(ts, gap_seconds))
+        .where("slot IS NOT NULL")  # said here, since a join would say it to its side only
         .groupBy(F.col(user).alias("user_id"), "slot")
-        .agg(*marks)
+        .agg(F.struct(*marks).alias("marks"))
     )
+    # unpacked by a generator, all readings need the same columns and share a shuffle
+    return folded.select("user_id", "slot", F.inline(F.array("marks")))
+
+
+def _numbered(slots: DataFrame, gap_seconds: int) -> DataFrame:
+    """Slots with the number of their session."""
     per_user = Window.partitionBy("user_id").orderBy("slot")
     silence = F.col("first_ts") - F.lag("last_ts").over(per_user)
     gap = F.expr(f"INTERVAL '{gap_seconds}' SECOND")
@@ -60,14 +73,46 @@ def sessionize(
     are taken as one user's. An event without a time belongs to no session: it
     stays, with a NULL ``session_no``.
     """
-    slots = _session_slots(events, gap_seconds, user, ts, None).select(
+    slots = _slots(events, gap_seconds, user, ts)
+    everything = slots.agg(F.sum("events")).scalar()
+    parts = F.when(
+        F.col("events") * HOT > F.col("_all"), F.ceil(F.col("events") * SPREAD / F.col("_all"))
+    ).otherwise(1)
+    sized = slots.withColumn("_all", everything).withColumn("_parts", parts.cast("long"))
+    # fewer than HOT rows hold more than one in HOT of the events
+    hot = F.broadcast(
+        sized.where("_parts > 1").select(
+            F.col("user_id").alias("_user"), F.col("slot").alias("_slot"), "_parts"
+        )
+    )
+    labels = _numbered(sized, gap_seconds).select(
         F.col("user_id").alias("_user"),
         F.col("slot").alias("_slot"),
         F.col("session_no").alias("_no"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_part"),
+    )
+
+    def at_slot(side: str):
+        return F.col(f"e.`{user}`").eqNullSafe(F.col(f"{side}._user")) & (
+            _slot(F.col(f"e.`{ts}`"), gap_seconds) == F.col(f"{side}._slot")
+        )
+
+    # events that are equal in all of these stay together
+    told_apart = [
+        F.col(f"e.`{f.name}`") for f in events.schema if "map<" not in f.dataType.simpleString()
+    ]
+    part = F.pmod(F.xxhash64(*told_apart), F.coalesce(F.col("hot._parts"), F.lit(1)))
+    own = "_part" + "_" * max(map(len, events.columns))  # no column's name is as long
+    dealt = (
+        events.alias("e").join(hot.alias("hot"), at_slot("hot"), "left").select("e.*", part.alias(own))
+    )
+    match = at_slot("labels") & (F.col(own) == F.col("labels._part"))
+    others = [F.col(f"e.`{c}`") for c in events.columns if c != "session_no"]
+    return (
+        dealt.alias("e")
+        .join(labels.alias("labels"), match, "left")
+        .select(*others, F.col("labels._no").alias("session_no"))
     )
-    match = F.col(user).eqNullSafe(F.col("_user")) & (_slot(ts, gap_seconds) == F.col("_slot"))
-    others = [c for c in events.columns if c != "session_no"]
-    return events.join(slots, match, "left").select(*others, F.col("_no").alias("session_no"))
 
 
 def sessions(
@@ -80,7 +125,7 @@ def sessions(
     """One row per rebuilt session: events, first and last time, duration in
     minute boundaries, and whether it covers several given session ids. Events
     without a time belong to none."""
-    slots = _session_slots(events, gap_seconds, user, ts, true_id)
+    slots = _numbered(_slots(events, gap_seconds, user, ts, true_id), gap_seconds)
     folded = [
         F.sum("events").alias("events"),
         F.min("first_ts").alias("started_at"),

@@ -94,6 +94,11 @@ def weekly_series(
         .groupBy(week_ending_sunday(ts).alias("week"))
         .agg(value.alias("value"), F.count(F.lit(1)).alias("n"))
     )
+    return every_week(weeks)
+
+
+def every_week(weeks: DataFrame) -> DataFrame:
+    """(week, value, n) of weeks that have rows, with zeros for those between."""
     filled = dense(weeks, "week", "week")
     return filled.select(
         "week",

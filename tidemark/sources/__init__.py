@@ -1,4 +1,4 @@
-from tidemark.sources.files import preview, read_table, write_table
+from tidemark.sources.files import preview, read_table, replace_table, write_table
 from tidemark.sources.invoices import clean_invoice_lines, clean_purchases, union_sheets
 
 __all__ = [
@@ -6,6 +6,7 @@ __all__ = [
     "clean_purchases",
     "preview",
     "read_table",
+    "replace_table",
     "union_sheets",
     "write_table",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +30,8 @@ def read_table(
     multi_line: bool = False,
 ) -> DataFrame:
     """A table from files. CSV and JSON need a schema: inferring one would scan
-    the data an extra time and guess dates.
+    the data an extra time and guess dates. A CSV cell that is a single NUL character
+    is read as NULL.
 
     CSV columns are found by the header's names, whatever their order; an empty cell
     is NULL and a quoted empty one the empty text; a record that does not fit the
@@ -105,6 +108,45 @@ def write_table(
     writer.format(format).save(path)
 
 
+def replace_table(
+    df: DataFrame, path: str, format: str = "parquet", partition_by: list[str] | None = None
+) -> None:
+    """Write a table beside ``path`` and put it in its place when it is whole.
+
+    A write that fails leaves the old table as it was, and ``df`` may read it. Two renames
+    separate old and new; on file systems whose renames copy they are not instant.
+    """
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex
+    fresh, old = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
+    try:
+        write_table(df, fresh, format, partition_by)
+        files, (target, new, kept) = _hadoop(spark, path, fresh, old)
+        had = files.exists(target)
+        if had and not files.rename(target, kept):
+            raise OSError(f"cannot move {path} away")
+        if not files.rename(new, target):
+            if had:
+                files.rename(kept, target)
+            raise OSError(f"cannot move {fresh} to {path}")
+    except BaseException:
+        remove(spark, fresh)
+        raise
+    remove(spark, old)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder if it is there."""
+    files, (target,) = _hadoop(spark, path)
+    files.delete(target, True)
+
+
+def _hadoop(spark: SparkSession, *paths: str):
+    """The file system of the first path, and all of them as its paths."""
+    named = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return named[0].getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), named
+
+
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` rows; on a sorted frame Spark plans a distributed top-n."""
     return df.limit(n)

@@ -322,6 +322,21 @@ def _(s, d):
     return read_table(s, path, "csv", "month DATE, mrr DOUBLE, active_subs BIGINT")
 
 
+@query("m07_mart_tables")
+def _(s, d):
+    """Staging views and a mart table by name; the mart reads its staging by name."""
+    built = models.materialise(
+        s,
+        {
+            "stg_subscriptions": lambda s: models.stg_subscriptions(roles.subs(s, d)),
+            "fct_mrr": lambda s: models.fct_mrr(s.table("stg_subscriptions"), MRR_END),
+        },
+        {"stg": "view", "fct": "table"},
+        scratch_path(s, "marts"),
+    )
+    return built["fct_mrr"]
+
+
 @query("t01_not_null")
 def _(s, d):
     return checks.not_null(roles.lines(s, d, country=False), "customer_id").select(
