@@ -41,7 +41,9 @@ def pages(spark):
     return spark.createDataFrame([(*d, "x", "x", "x", 1) for d in data], SCHEMA), data
 
 
-def test_records_say_what_the_pages_are(pages):
+@pytest.mark.parametrize("listed", [100_000, 0])
+def test_records_say_what_the_pages_are(pages, monkeypatch, listed):
+    monkeypatch.setattr(warc, "BROADCAST_FIRSTS", listed)  # by broadcast, and by a join
     df, data = pages
     got = sorted(rows(warc.archive_pages(df.repartition(3))), key=str)
     want = []

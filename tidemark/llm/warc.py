@@ -39,11 +39,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.plans import scratch_path
+from tidemark.plans import durable, scratch_path
 
 # fixed values of the Zstandard and WARC formats
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -60,6 +60,7 @@ SAMPLE_BYTES = 4 << 20  # of an archive's first records, to train its dictionary
 SAMPLE_RECORDS = 16  # fewer are not trained on
 ARCHIVE_BYTES = 1 << 30
 READ_BYTES = 4 << 20
+BROADCAST_FIRSTS = 100_000  # of repeated payloads, about 100 bytes each
 DATE = "2024-01-01T00:00:00Z"
 ID = "urn:page"
 MAX_RECORD = 1 << 31  # bytes; a frame that claims more is not decoded
@@ -330,27 +331,41 @@ def read_frames(stream) -> Iterator[tuple[int, dict]]:
 def with_roles(pages: DataFrame) -> DataFrame:
     """(page_id, url, payload, revisit, refers_to): each page and what its record is.
 
-    The first page of each repeated payload is found from digests alone; only then are
-    pages joined, once, by digest.
+    The first page of each repeated payload is found from digests alone and written down.
+    If the list is small for certain it goes to all tasks, and no payload is moved; a
+    longer one is joined, which moves each payload once, by digest.
     """
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
-    whole = pages.select("page_id", "url", payload.alias("payload")).withColumn("mark", F.sha2("payload", 256))
+    whole = pages.select(
+        "page_id",
+        "url",
+        payload.alias("payload"),
+        F.unhex(F.sha2(payload, 256)).alias("mark"),
+    )
     order = F.struct(F.col("page_id").isNull(), F.col("page_id"), F.col("url").isNull(), F.col("url"))
-    first = (
+    firsts = durable(
         whole.groupBy("mark")
         .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies"))
         .where("copies > 1")
-        .select("mark", F.col("first"))
+        # targets can be long; a digest tells whether a page's is the first one's
+        .select("mark", F.col("first.page_id").alias("first"), _capture(F.col("first.url")).alias("capture"))
     )
-    return whole.join(first, "mark", "left").select(
+    if firsts.count() <= BROADCAST_FIRSTS:
+        firsts = F.broadcast(firsts)
+    first = F.col("first").eqNullSafe(F.col("page_id")) & (F.col("capture") == _capture(F.col("url")))
+    return whole.join(firsts, "mark", "left").select(
         "page_id",
         "url",
         "payload",
-        F.coalesce(~order.eqNullSafe(F.col("first")) & F.col("first").isNotNull(), F.lit(False)).alias("revisit"),
-        F.col("first.page_id").alias("refers_to"),
+        (F.col("capture").isNotNull() & ~first).alias("revisit"),
+        F.col("first").alias("refers_to"),
     )
 
 
+def _capture(url) -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.concat(F.lit("<"), url), F.lit("")), 256))
+
+
 def _write(folder: str, archive_bytes: int, level: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, root = fs.FileSystem.from_uri(folder)
