@@ -8,6 +8,7 @@ import zlib
 from array import array
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -178,6 +179,7 @@ def test_edits_of_odd_rows(spark, odd):
         rows = got.collect()
         assert len(rows) == odd.count()
         assert all(r.n == counting.count(RANKS, r.text) and r.source is None for r in rows)
+        assert {(r._done, r._mark, r.row, r.mark) for r in rows} == {(5, 1, "x", 6)}
     assert counting.apply_edits(planted.limit(0), RANKS).collect() == []
 
 
@@ -237,20 +239,82 @@ def test_best_fit_takes_the_least_room():
     assert where == [0, 1, 0, 1, 1] and opened == [100, 100] and filled == [100, 90]
 
 
-def test_joint_lengths_cost_no_more_than_any_one():
-    rng = random.Random(8)
-    import numpy as np
+def total_cost(capacity, overhead, attention):
+    return sum(map(packing.bin_cost(overhead, attention), capacity))
+
+
+def cost_of_usual(sizes, usual, lengths, overhead, attention):
+    _, _, filled = packing.best_fit(sorted(sizes, reverse=True), usual, sorted(lengths))
+    return total_cost([min(c for c in lengths if c >= f) for f in filled], overhead, attention)
 
+
+@pytest.mark.parametrize("attention", [10**9, 512, 128])
+def test_joint_lengths_cost_no_more_than_any_one(attention):
+    rng = random.Random(8)
     sizes = np.array([rng.choice([5, 17, 33, 50, 90]) for _ in range(3000)])
-    where, capacity = packing.pack(sizes, (32, 64, 128), 4)
-    cost = capacity.sum() + 4 * len(capacity)
+    where, capacity = packing.pack(sizes, (32, 64, 128), 4, attention)
+    cost = total_cost(capacity.tolist(), 4, attention)
     for usual in (32, 64, 128):
-        _, _, filled = packing.best_fit(sorted(sizes.tolist(), reverse=True), usual, [32, 64, 128])
-        shrunk = [min(c for c in (32, 64, 128) if c >= f) for f in filled]
-        assert cost <= sum(shrunk) + 4 * len(shrunk)
+        assert cost <= cost_of_usual(sizes.tolist(), usual, (32, 64, 128), 4, attention) + 1e-9
     assert (np.bincount(where, sizes) <= capacity).all()
 
 
+def test_mixed_tables_open_several_lengths():
+    """Bins of all lengths together cost less than one usual length of any kind."""
+    rng = random.Random(3)
+    sizes = [rng.choice([40, 60, 75, 75, 90]) for _ in range(2000)]
+    lengths, overhead, attention = (80, 128, 192), 8, 512
+    falling = sorted(sizes, reverse=True)
+    joint = packing.least_cost_opening(falling, lengths, packing.bin_cost(overhead, attention))
+    where, opened, filled = packing.best_fit(falling, joint, lengths)
+    assert len(set(opened)) > 1
+    capacity = [min(c for c in lengths if c >= f) for f in filled]
+    usual = [cost_of_usual(sizes, x, lengths, overhead, attention) for x in lengths]
+    assert total_cost(capacity, overhead, attention) < min(usual)
+
+
+def test_openings_by_hand():
+    lengths, cost = (100, 150, 200), packing.bin_cost(10, 10**9)
+    opening = packing.least_cost_opening([90, 60, 60, 50, 40], lengths, cost)
+    # 90 + 60 fill 150; 90 + 60 + 50 fill 200 for less a token
+    assert opening(0) == 200
+    assert opening(4) == 100 and opening(1) == 100  # 60 + 40 fill 100
+    steep = packing.least_cost_opening([90, 60, 60, 50, 40], lengths, packing.bin_cost(10, 100))
+    assert steep(0) == 100 and steep(1) == 100
+
+
+def optimum(sizes, lengths, cost):
+    """The least cost of any division of the pieces into bins, by all divisions."""
+    best = math.inf
+
+    def place(k, bins):
+        nonlocal best
+        if k == len(sizes):
+            best = min(best, sum(cost(min(c for c in lengths if c >= b)) for b in bins))
+            return
+        for i in range(len(bins)):
+            if bins[i] + sizes[k] <= max(lengths):
+                place(k + 1, bins[:i] + [bins[i] + sizes[k]] + bins[i + 1 :])
+        place(k + 1, [*bins, sizes[k]])
+
+    place(0, [])
+    return best
+
+
+@pytest.mark.parametrize("overhead, attention", [(64, 16_384), (4, 10**9), (0, 2000)])
+def test_packing_against_the_true_optimum(overhead, attention):
+    rng = random.Random(6)
+    lengths, cost = (1024, 2048, 4096), packing.bin_cost(overhead, attention)
+    ratios = []
+    for _ in range(60):
+        sizes = [rng.choice([rng.randint(1, 4096), rng.randint(1, 900)]) for _ in range(rng.randint(1, 8))]
+        where, capacity = packing.pack(np.array(sizes), lengths, overhead, attention)
+        assert (np.bincount(where, sizes, len(capacity)) <= capacity).all()
+        ratios.append(total_cost(capacity.tolist(), overhead, attention) / optimum(sizes, lengths, cost))
+    assert min(ratios) > 1 - 1e-9 and max(ratios) < 1.34
+    assert sum(r < 1 + 1e-9 for r in ratios) >= 42 and sum(ratios) / len(ratios) < 1.04
+
+
 # --------------------------------------------------------------------- secrets
 
 BASE = {

@@ -2,11 +2,16 @@
 
 Documents become pieces of at most the largest permitted length: full ones and a
 rest. Pieces are taken by falling length; each goes to the open bin that it leaves
-with the least room. If it fits none, a bin of the least-cost size is opened. A bin
-costs its length plus ``overhead``, and which size to open is settled for a whole
-shard of pieces: every permitted length is tried as the usual size (a larger one is
-opened only for pieces that need it), and the packing of the least total cost stays.
-In the end each bin shrinks to the shortest permitted length that holds its contents.
+with the least room. If it fits none, a bin is opened. A bin of length L costs
+``overhead + L + L * L / attention``: a sequence's own cost, its tokens' and that of
+their attention to each other, so long bins pay only where they spare room.
+
+The lengths are optimised jointly: for every opening each permitted length that holds
+the piece is tried ahead, filled up with the largest pieces still to come that fit, and
+the one of the least cost a token is opened. So bins of all lengths are open together,
+and small pieces fill the rooms of long bins before short ones are opened for them. In
+the end each bin shrinks to the shortest permitted length that holds its contents. As a
+safeguard the packings with one usual length are made as well, and the cheapest stays.
 
 Pieces are dealt at random into shards of about ``SHARD`` pieces, which are packed
 independently: a shard's size does not grow with the corpus, and packing loses about
@@ -31,6 +36,7 @@ from tidemark.plans import durable
 
 LENGTHS = (1024, 2048, 4096)
 OVERHEAD = 64
+ATTENTION = 16_384  # the length at which attention costs as much as all the rest
 SHARD = 20_000
 
 
@@ -44,12 +50,16 @@ def token_lengths(docs: DataFrame, path: str) -> DataFrame:
     return docs.select("doc_id", arrow_udf(lengths, "bigint")("text").alias("n_tokens"))
 
 
-def best_fit(sizes, usual: int, lengths) -> tuple[list[int], list[int], list[int]]:
-    """Best fit of falling sizes: (bin of each, room opened, room filled, by bin)."""
+def best_fit(sizes, opening, lengths) -> tuple[list[int], list[int], list[int]]:
+    """Best fit of falling sizes: (bin of each, room opened, room filled, by bin).
+
+    ``opening`` is the usual length of a new bin, longer only for pieces that need it, or
+    gives the length for the k-th piece.
+    """
     room: dict[int, list[int]] = {}
     rooms: list[int] = []  # the distinct rooms of open bins, rising
     opened, filled, where = [], [], []
-    for size in sizes:
+    for k, size in enumerate(sizes):
         at = bisect_left(rooms, size)
         if at < len(rooms):
             left = rooms[at]
@@ -59,7 +69,10 @@ def best_fit(sizes, usual: int, lengths) -> tuple[list[int], list[int], list[int
                 del room[left]
                 rooms.pop(at)
         else:
-            left = usual if usual >= size else lengths[bisect_left(lengths, size)]
+            if callable(opening):
+                left = opening(k)
+            else:
+                left = opening if opening >= size else lengths[bisect_left(lengths, size)]
             target = len(opened)
             opened.append(left)
             filled.append(0)
@@ -75,18 +88,45 @@ def best_fit(sizes, usual: int, lengths) -> tuple[list[int], list[int], list[int
     return where, opened, filled
 
 
-def pack(sizes: np.ndarray, lengths=LENGTHS, overhead: int = OVERHEAD):
+def least_cost_opening(falling: list[int], lengths, cost):
+    """The length to open for the k-th of falling sizes: that of the least cost a token,
+    if it is filled with the largest later pieces that fit and shrunk to its contents."""
+    rising = [-s for s in falling]
+
+    def opening(k: int) -> int:
+        best = None
+        for length in lengths[bisect_left(lengths, falling[k]) :]:
+            filled, at = falling[k], k + 1
+            while filled < length:
+                at = bisect_left(rising, filled - length, at)  # the first that fits
+                if at == len(falling):
+                    break
+                filled += falling[at]
+                at += 1
+            rate = cost(lengths[bisect_left(lengths, filled)]) / filled
+            if best is None or rate < best[0]:
+                best = rate, length
+        return best[1]
+
+    return opening
+
+
+def bin_cost(overhead: int = OVERHEAD, attention: int = ATTENTION):
+    return lambda length: overhead + length + length * length / attention
+
+
+def pack(sizes: np.ndarray, lengths=LENGTHS, overhead: int = OVERHEAD, attention: int = ATTENTION):
     """(bin of each piece, length of each bin) at the least total cost found."""
-    lengths = sorted(lengths)
+    lengths, cost = sorted(lengths), bin_cost(overhead, attention)
     order = np.argsort(-sizes, kind="stable")
     falling = sizes[order].tolist()
     best = None
-    for usual in lengths:
-        where, _, filled = best_fit(falling, usual, lengths)
+    for opening in (least_cost_opening(falling, lengths, cost), *lengths):
+        where, _, filled = best_fit(falling, opening, lengths)
         shrunk = [lengths[bisect_left(lengths, f)] for f in filled]
-        cost = sum(shrunk) + overhead * len(shrunk)
-        if best is None or cost < best[0]:
-            best = cost, where, shrunk
+        total = sum(map(cost, shrunk))
+        if best is None or total < best[0]:
+            best = total, where, shrunk
     out = np.empty(len(sizes), np.int64)
     out[order] = best[1]
     return out, np.array(best[2], np.int64)
@@ -107,7 +147,12 @@ def pieces(lengths: DataFrame, longest: int) -> DataFrame:
 
 
 def best_fit_packing(
-    docs: DataFrame, path: str, lengths=LENGTHS, overhead: int = OVERHEAD, shard: int = SHARD
+    docs: DataFrame,
+    path: str,
+    lengths=LENGTHS,
+    overhead: int = OVERHEAD,
+    shard: int = SHARD,
+    attention: int = ATTENTION,
 ) -> DataFrame:
     """One row a piece: its bin, the bin's length, and its place in both.
 
@@ -121,7 +166,7 @@ def best_fit_packing(
         )
         table = table.take(pa.array(order)).combine_chunks()
         size = table.column("length").to_numpy()
-        where, capacity = pack(size, lengths, overhead)
+        where, capacity = pack(size, lengths, overhead, attention)
         number = table.column("shard")[0].as_py() << 32
         by_bin = np.argsort(where, kind="stable")
         sums = np.cumsum(size[by_bin])
