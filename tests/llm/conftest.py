@@ -4,7 +4,8 @@ import pytest
 
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, "
-    "id bigint, s string, row string, ids string, tree string, n_lines_removed bigint, score double"
+    "id bigint, s string, row string, ids string, tree string, n_lines_removed bigint, score double, "
+    "_mark bigint, _doc bigint, _gone bigint, _mark_of bigint, _done bigint, mark bigint, gone string"
 )
 WORDS = "the of a river stone walks under bright cold morning lamp seven letters read quietly".split()
 
@@ -38,7 +39,7 @@ def odd(spark):
         (12, "\n".join(["same line here"] * 9)),
     ]
     rows = [
-        (i, t, lang, None, None, 77, "x", "x", "x", "x", 5, 0.5)
+        (i, t, lang, None, None, 77, "x", "x", "x", "x", 5, 0.5, 1, 2, 3, 4, 5, 6, "y")
         for (i, t), lang in zip(texts, ["en", None, "xx-weird", "de"] * 4)
     ]
     return spark.createDataFrame(rows, SCHEMA).cache()

@@ -104,7 +104,8 @@ def brute(docs, labels):
 
 def check(spark, docs, labels):
     rng = random.Random(1)
-    frame = spark.createDataFrame([(i, t, l, None, None, 1, "x", "x", "x", "x", 5, 0.5) for i, t, l in docs], SCHEMA)
+    other = (None, None, 1, "x", "x", "x", "x", 5, 0.5, 1, 2, 3, 4, 5, 6, "y")
+    frame = spark.createDataFrame([(*d, *other) for d in docs], SCHEMA)
     marks = spark.createDataFrame([(*x, rng.random()) for x in labels], "doc_id bigint, quality int, toxic int, n double")
     got = sorted(tuple(r) for r in audit.audit(frame, marks).collect())
     assert got == brute(docs, labels)

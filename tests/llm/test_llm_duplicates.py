@@ -321,6 +321,8 @@ def test_repeated_lines_of_odd_rows(odd):
     assert len(rows) == odd.count()
     by = {(r.doc_id, r.text is None): r for r in rows}
     assert by[None, True].n_lines_removed == 0
+    hidden = ["_mark", "_doc", "_gone", "_mark_of", "_done", "mark", "gone"]
+    assert {tuple(r[c] for c in hidden) for r in rows} == {(1, 2, 3, 4, 5, 6, "y")}
     # the null id comes first, so 1 and 2 lose their copies of its text
     assert by[1, False].text == "" and by[2, False].text == "" and by[None, False].text
     # a window that begins on the first one's second line is a later one too

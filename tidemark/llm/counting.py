@@ -202,7 +202,11 @@ def apply_edits(docs: DataFrame, path: str, edits: str = "edits") -> DataFrame:
 
     done = arrow_udf(run, f"struct<text:string,tree:struct<{TREE}>,n_encoded:bigint>")
     others = [c for c in docs.columns if c not in ("text", "tree", "n_encoded", edits)]
-    return docs.withColumn("_done", done("text", "tree", edits)).select(*others, "_done.*")
+    # the caller's other columns travel in a struct, so they may have any name
+    row = F.struct(F.lit(0).alias("text"), *(F.col(f"`{c}`") for c in others))
+    return docs.select(row.alias("row"), done("text", "tree", edits).alias("done")).select(
+        *(F.col(f"row.`{c}`") for c in others), "done.*"
+    )
 
 
 def tree_total(tree):

@@ -96,23 +96,22 @@ def without(text, gone):
 def remove_repeated_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` with shortened texts, and ``n_lines_removed``."""
     gone = covered_lines(docs.select("doc_id", "text"), width)
-    keyed = docs.withColumn("_mark", F.xxhash64("text"))
-    gone = gone.select(
-        F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark_of"), F.col("gone").alias("_gone")
+    # the caller's row travels in a struct, so its columns may have any name
+    held = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id"), F.xxhash64("text").alias("mark")
     )
-    joined = keyed.join(
-        gone,
-        F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_mark") == F.col("_mark_of")),
-        "left",
-    )
-    cut = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
-        without(F.col("text"), F.col("_gone"))
-    )
-    return joined.select(
-        *(
-            cut.alias(c) if c == "text" else F.col(c)
-            for c in docs.columns
-            if c != "n_lines_removed"
-        ),
-        F.coalesce(F.size("_gone"), F.lit(0)).alias("n_lines_removed"),
+    match = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.mark") == F.col("g.mark"))
+    text, lost = F.col("d.row.text"), F.col("g.gone")
+    cut = F.when(lost.isNull(), text).otherwise(without(text, lost))
+    return (
+        held.alias("d")
+        .join(gone.alias("g"), match, "left")
+        .select(
+            *(
+                (cut if c == "text" else F.col(f"d.row.`{c}`")).alias(c)
+                for c in docs.columns
+                if c != "n_lines_removed"
+            ),
+            F.coalesce(F.size(lost), F.lit(0)).alias("n_lines_removed"),
+        )
     )
