@@ -177,7 +177,11 @@ class Model:
 
 
 def train(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """A model from (doc_id, STATISTICS) and (doc_id, quality)."""
+    """A model from (doc_id, STATISTICS) and (doc_id, quality).
+
+    In place of the statistics, ``stats`` may have the ``text``: then only those of the
+    chosen rows are computed.
+    """
     known = labels.where("quality in (0, 1)").groupBy("doc_id").agg(
         F.min("quality").cast("double").alias("label")
     )
@@ -193,7 +197,13 @@ def train(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Mode
     chosen = usable.where(
         F.pmod(F.xxhash64("doc_id"), F.lit(part)) < F.lit(min(part, part * max_rows // n))
     )
-    rows = durable(stats.join(chosen, "doc_id").select(*STATISTICS, "label").repartition(4))
+    # about max_rows at most, so they may go to all tasks; no text moves
+    own = stats.join(F.broadcast(chosen), "doc_id")
+    if "text" in stats.columns:
+        own = own.select("label", statistics(F.col("text")).alias("s")).select("label", "s.*")
+    # placed and ordered by their values, so that the model depends on them alone
+    placed = own.select(*STATISTICS, "label").repartition(4, *STATISTICS, "label")
+    rows = durable(placed.sortWithinPartitions(*STATISTICS, "label"))
     rows = VectorAssembler(inputCols=list(STATISTICS), outputCol="x").transform(rows).cache()
     forest = RandomForestClassifier(
         featuresCol="x",
@@ -237,11 +247,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS
 
 def reject_documents(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """``docs`` without those predicted 0."""
-    stats = durable(
-        docs.select("doc_id", statistics(F.col("text")).alias("s")).select("doc_id", "s.*")
-    )
-    score = train(stats, labels, max_rows).score()
-    # the statistics are computed again rather than joined: no text moves
+    score = train(docs.select("doc_id", "text"), labels, max_rows).score()
     named = docs.select(
         F.struct(*(F.col(c) for c in docs.columns)).alias("_row"),
         statistics(F.col("text")).alias("_stats"),
