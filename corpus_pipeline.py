@@ -34,12 +34,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays.
+    """Of each group of near duplicates (five-word shingles, a similarity of 0.8 and more)
+    the document with the smallest id stays.
 
     Rows that share a doc_id share its fate; rows with a null doc_id stay.
     """
     ship(spark)
-    gone = setsketch.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    gone = setsketch.near_duplicates(docs, 80, width=5).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
