@@ -468,3 +468,42 @@ def test_classifier_of_odd_rows(spark, odd):
     assert rules.score_documents(odd.limit(0), labels.limit(0)).collect() == []
     kept = rules.reject_documents(odd, labels)
     assert kept.columns == odd.columns
+
+
+def test_limits_follow_the_sampling_noise(spark, given):
+    """Words count from the length on at which noise is no more than what is allowed, and
+    the limit falls with the length."""
+    rows = quality.divergence_rules(given).join(given.select("doc_id", "lang"), "doc_id").collect()
+    common = Counter(r.lang for r in quality.references(given).where("kind = 'word'").collect())
+    judged = Counter()
+    for r in rows:
+        noise = common[r.lang] / (8 * math.log(2) * max(r.n_words, 1))
+        if abs(noise - 0.04) < 1e-9 or r.base_failed:
+            continue
+        counts = noise <= 0.04
+        limit = math.sqrt(0.04 + 1.5 * noise)
+        strange = counts and r.word_distance > limit
+        if r.class_distance <= 0.3 and abs(r.word_distance - limit) > 1e-5:
+            assert r.kept == (not strange)
+            judged[counts, strange] += 1
+    assert judged[True, True] and judged[True, False] and judged[False, False]
+
+
+def test_short_random_texts_of_a_language_are_kept(spark):
+    """Texts drawn from the language itself, with nothing wrong, at the shortest lengths."""
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(400)]
+    weights = [1 / (k + 3) for k in range(400)]
+    texts = [" ".join(rng.choices(words, weights, k=n)) for n in (52, 60, 70, 90, 150) for _ in range(150)]
+    df = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    got = quality.divergence_rules(df).where("not base_failed").collect()
+    assert len(got) > 600 and all(r.kept for r in got)
+
+
+def test_language_codes_are_normalised(spark):
+    codes = {
+        "EN": "en", "en-US": "en", "en_GB": "en", "deu": "deu", "DEU-at": "deu", "zh-Hant-TW": "zh", "e": "und",
+        "engl": "und", "en\n": "und", "": "und", None: "und", "ab\n": "und", "x1": "und", "-en": "und",
+    }
+    df = spark.createDataFrame([(c, w) for c, w in codes.items()], "lang string, want string")
+    assert df.select(quality.language(F.col("lang")).alias("got"), "want").where("got != want").collect() == []

@@ -8,13 +8,13 @@ round trips or held-out labels.
 from __future__ import annotations
 
 from tidemark.llm.quality import (
+    CLASS_NOISE,
     COMMON_SHARE,
     MAX_CLASS_DISTANCE,
     MAX_REPEATED_PCT,
     MAX_WORD_DISTANCE,
-    MIN_CHARS,
-    MIN_GUARD_WORDS,
     MIN_WORDS,
+    NOISE_WEIGHT,
 )
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -45,7 +45,8 @@ component AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)"""
 _OP1 = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
-         CASE WHEN regexp_matches(lang, '^[a-z][a-z]$') THEN lang ELSE 'und' END AS lang,
+         CASE WHEN regexp_full_match(regexp_extract(lower(lang), '^[^-_]*'), '[a-z]{{2,3}}')
+              THEN regexp_extract(lower(lang), '^[^-_]*') ELSE 'und' END AS lang,
          {_words('text')} AS w, {_words(_LOWER.format('text'))} AS lw
   FROM documents
 ),
@@ -120,7 +121,10 @@ joined AS (
          CAST(length(regexp_replace(text, '{_SPACE}', '', 'g')) AS BIGINT) AS word_chars,
          CAST({_kept('#*$%&|<>')} AS BIGINT) AS n_symbols,
          coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
-         length(text) AS chars, coalesce(class_far.far, 0) AS cf, coalesce(word_far.far, 0) AS wf
+         coalesce(class_far.far, 0) AS cf, coalesce(word_far.far, 0) AS wf,
+         7 / (8 * ln(2) * greatest(length(text), 1)) AS c_noise,
+         (SELECT count(*) FROM word_ref WHERE word_ref.lang = d.lang)
+           / (8 * ln(2) * greatest(len(w), 1)) AS w_noise
   FROM d LEFT JOIN class_far USING (doc_id) LEFT JOIN word_far USING (doc_id)
   LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id)
 ),
@@ -129,8 +133,10 @@ judged AS (
   FROM joined
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (chars >= {MIN_CHARS} AND cf > {MAX_CLASS_DISTANCE})
-       AND NOT (n_words >= {MIN_GUARD_WORDS} AND wf > {MAX_WORD_DISTANCE}) AS kept,
+       NOT base_failed
+       AND NOT (c_noise <= {CLASS_NOISE * MAX_CLASS_DISTANCE**2} AND cf > {MAX_CLASS_DISTANCE})
+       AND NOT (w_noise <= {MAX_WORD_DISTANCE**2}
+                AND wf > sqrt({MAX_WORD_DISTANCE**2} + {NOISE_WEIGHT} * w_noise)) AS kept,
        round(cf, 6) AS class_distance, round(wf, 6) AS word_distance
 FROM judged
 """

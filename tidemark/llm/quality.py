@@ -6,6 +6,15 @@ The references are counted over all documents. A document whose Jensen-Shannon
 distance to its reference is too large is rejected, but only if it is long enough
 for its histogram to mean something.
 
+How long that is follows from sampling noise: n draws from a reference of b bins have a
+squared distance of about (b - 1) / (8 ln 2 n) to it. Words count from the length on at
+which this is no more than the divergence allowed (``MAX_WORD_DISTANCE`` squared), which
+for 15 common words are 68, and the limit then still grows by ``NOISE_WEIGHT`` times the
+noise. Characters count from where the noise is a twentieth of what is allowed.
+
+Languages go by the first part of their code in lower case, of two or three letters:
+``EN`` and ``en-US`` are ``en``.
+
 Defined cases: a null or empty text has no words and fails the base rules; a null
 or unusual language code is held against the reference of all such documents;
 repeated rows each give a row. Input columns other than the three named are kept
@@ -27,8 +36,9 @@ CLASSES = ("lower", "upper", "digit", "space", "point", "symbol", "other", "wide
 SYMBOLS = b"#*$%&|<>"
 COMMON_SHARE = 0.005  # of a language's words; so at most 200 words are common
 MIN_WORDS, MAX_REPEATED_PCT = 50, 50
-MIN_CHARS, MIN_GUARD_WORDS = 200, 50
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.3, 0.32
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.3, 0.2
+CLASS_NOISE, NOISE_WEIGHT = 0.05, 1.5
+PER_DRAW = 1 / (8 * np.log(2))  # a bin's share of the noise of one draw
 
 
 def _class_table() -> np.ndarray:
@@ -53,8 +63,10 @@ _FIRST_BYTE = (np.arange(256) & 0xC0) != 0x80
 
 
 def language(lang):
-    """Two-letter codes; everything else is one group."""
-    return F.when(lang.rlike("^[a-z]{2}$"), lang).otherwise("und")
+    """The first part of a code, of two or three letters; everything else is one group."""
+    first = F.substring_index(F.substring_index(F.lower(lang), "-", 1), "_", 1)
+    usual = first.rlike(r"^[a-z]{2,3}\z")
+    return F.when(usual, first).otherwise("und")
 
 
 def class_counts(block: Block) -> np.ndarray:
@@ -141,7 +153,7 @@ def partial_references(batches):
 def references(docs: DataFrame, share: float = COMMON_SHARE) -> DataFrame:
     """(lang, kind, item, n, total): class counts, and counts of the common words.
 
-    At most 677 languages with 1 / share words and eight classes each.
+    At most 18,253 languages with 1 / share words and eight classes each.
     """
     source = docs.select(language(F.col("lang")).alias("lang"), F.col("text").cast("binary").alias("text"))
     counts = (
@@ -172,7 +184,7 @@ def distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
 def _scorer(tables):
     """tables: a broadcast {lang: (class counts, sorted word hashes, word counts, all words)}."""
 
-    @arrow_udf(f"{BASE}, n_chars bigint, class_distance double, word_distance double")
+    @arrow_udf(f"{BASE}, n_chars bigint, class_distance double, word_distance double, n_common bigint")
     def score(text: pa.Array, lang: pa.Array) -> pa.Array:
         langs = np.array(lang.to_pylist(), dtype=object)
         parts: list[list[np.ndarray]] = []
@@ -181,7 +193,7 @@ def _scorer(tables):
             n = len(offsets) - 1
             by_class, hashes = class_counts(block), block.words(lower=True)
             names = langs[first : first + n]
-            near = np.zeros(n), np.zeros(n)
+            near = np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
             for name in set(names):
                 mine = np.flatnonzero(names == name)
                 class_ref, keys, key_counts, total = tables.value[name]
@@ -194,11 +206,13 @@ def _scorer(tables):
                 seen = np.bincount(block.doc * (k + 1) + slot, minlength=n * (k + 1))
                 word_ref = np.append(key_counts, total - key_counts.sum())
                 near[1][mine] = distance(seen.reshape(n, k + 1)[mine], word_ref)
+                near[2][mine] = k
             parts.append([*base_counts(block), by_class.sum(axis=1), *near])
         names = [f.split()[0] for f in BASE.split(", ")]
-        names += ["n_chars", "class_distance", "word_distance"]
+        names += ["n_chars", "class_distance", "word_distance", "n_common"]
         if not parts:  # an empty batch
-            parts = [[np.zeros(0, np.int64)] * 6 + [np.zeros(0)] * 2]
+            none = np.zeros(0, np.int64)
+            parts = [[none] * 6 + [np.zeros(0)] * 2 + [none]]
         columns = [np.concatenate(c) for c in zip(*parts)]
         return pa.StructArray.from_arrays([pa.array(c) for c in columns], names)
 
@@ -206,20 +220,21 @@ def _scorer(tables):
 
 
 def reference_tables(refs: DataFrame) -> dict:
-    """The references as arrays; their size has a fixed bound (see references)."""
-    out: dict = {}
-    for lang, kind, item, n, total in refs.collect():
-        out.setdefault(lang, {"class": [], "word": [], "total": 0})[kind].append((item, n))
-        if kind == "word":
-            out[lang]["total"] = total
+    """The references as arrays; their size has a fixed bound (see references): 58 MB."""
+    found = refs.select("lang", "kind", "item", "n", "total").orderBy("lang", "kind").toArrow()
+    lang, kind = (np.array(found.column(c).to_pylist(), object) for c in ("lang", "kind"))
+    item, n, total = (found.column(c).to_numpy() for c in ("item", "n", "total"))
     tables = {}
-    for lang, found in out.items():
+    first = np.flatnonzero(np.append(True, lang[1:] != lang[:-1])) if len(lang) else []
+    for a, b in zip(first, [*first[1:], len(lang)]):
+        word = np.flatnonzero(kind[a:b] == "word") + a
         by_class = np.zeros(len(CLASSES))
-        for item, n in found["class"]:
-            by_class[item] = n
-        pairs = sorted((item % (1 << 64), n) for item, n in found["word"])
-        keys = np.array([k for k, _ in pairs], np.uint64)
-        tables[lang] = by_class, keys, np.array([n for _, n in pairs], np.int64), found["total"]
+        at = np.flatnonzero(kind[a:b] == "class") + a
+        by_class[item[at]] = n[at]
+        keys = item[word].astype(np.uint64)
+        order = np.argsort(keys)
+        counted = total[word[0]] if len(word) else 0
+        tables[lang[a]] = by_class, keys[order], n[word][order], counted
     return tables
 
 
@@ -246,9 +261,14 @@ def divergence_rules(
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED_PCT * F.col("n_words")
     )
+    class_noise = F.lit((len(CLASSES) - 1) * PER_DRAW) / F.greatest("n_chars", F.lit(1))
+    word_noise = F.col("n_common") * PER_DRAW / F.greatest("n_words", F.lit(1))
     strange = (
-        (F.col("n_chars") >= MIN_CHARS) & (F.col("class_distance") > max_class)
-    ) | ((F.col("n_words") >= MIN_GUARD_WORDS) & (F.col("word_distance") > max_word))
+        (class_noise <= CLASS_NOISE * max_class**2) & (F.col("class_distance") > max_class)
+    ) | (
+        (word_noise <= max_word**2)
+        & (F.col("word_distance") > F.sqrt(F.lit(max_word**2) + NOISE_WEIGHT * word_noise))
+    )
     return scored.withColumns({"base_failed": failed, "kept": ~failed & ~strange}).select(
         "doc_id",
         "n_words",
