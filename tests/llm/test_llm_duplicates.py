@@ -236,6 +236,47 @@ def test_odd_vectors(spark):
     assert cones.near_vectors(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("grid, slice_rows", [(cones.GRID, 512), (0.004, 512), (0.004, 7), (0.02, 512)])
+def test_cells_with_different_vectors_are_settled_exactly(spark, grid, slice_rows):
+    """Coarse cells hold vectors that link with some of their neighbours and not with others."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for _ in range(12):
+        x, e = rng.standard_normal((2, 16))
+        x /= np.linalg.norm(x)
+        e -= (e @ x) * x
+        e /= np.linalg.norm(e)
+        for c in (1.0, 0.9 + 1e-7, 0.9 - 1e-7, 0.9001, 0.95):
+            y = c * x + np.sqrt(1 - c * c) * e
+            # scaled copies, and copies moved by less than a coarse cell
+            rows += [y * k for k in (1, 3, 0.7)] + [y + rng.standard_normal(16) * 3e-4 for _ in range(3)]
+    x = np.array(rows)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    links = [(int(a), int(b)) for a, b in zip(*np.nonzero(near)) if a < b]
+    want = reachable(range(len(rows)), links)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id bigint, embedding array<double>")
+    got = cones.near_vectors(df, slice_rows=slice_rows, grid=grid).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {
+        i: (int(near[i].sum()), want[i]) for i in range(len(rows))
+    }
+
+
+def test_scaled_copies_are_few_classes(spark):
+    rng = np.random.default_rng(2)
+    base = rng.standard_normal(64)
+    rows = [(i, (base * s).tolist()) for i, s in enumerate(rng.uniform(0.001, 900, 3000))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    assert df.select(cones.cell("embedding")).distinct().count() < 20
+    got = cones.near_vectors(df).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(2999, 0)}
+    extreme = spark.createDataFrame([(1, [1e-300, 2e-300]), (2, [1e300, 2e300]), (3, [-1.0, -2.0])], "vec_id bigint, embedding array<double>")
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in cones.near_vectors(extreme).collect()) == [
+        (1, 1, 1), (2, 1, 1), (3, 0, 3)
+    ]
+
+
 def test_filters_are_those_above_the_cap():
     rng = np.random.default_rng(5)
     code = cones.Code(12, 3, 6)

@@ -21,12 +21,17 @@ follow from the number of vectors: the caps are so narrow that a filter has abou
 ``load`` of n random vectors, and the directions so many that two vectors at the
 threshold share ``shared`` filters of a code on average; README has measured recall.
 
-Copies of one vector (after scaling) are one class with a weight.
+Copies of one vector, after scaling, are one class with a weight: unit vectors in one
+cell of a grid of width ``GRID``, so that copies stay together whatever rounding their
+scaling has left. A class is compared by one of its vectors. Members of a class link with
+each other. For two classes the cosine of the compared ones decides, unless it is so near
+to the threshold that the cells' width matters and a class has different vectors; then
+all vectors of the two are compared.
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite
 components links with nothing; vectors of different lengths do not link; a null
 vec_id has no links; rows with one vec_id and several vectors give a row each, all with
-the links of all its vectors.
+the links of all its vectors. Ids are whole numbers; others fail the query.
 """
 
 from __future__ import annotations
@@ -48,6 +53,7 @@ RECALL, TRIAL = 0.999, 2000  # of pairs at the threshold; random pairs that code
 LEAST_BOTH = 0.15
 SLICE = 512  # vectors of one filter that one side of a task holds
 SEED = 20240229
+GRID = 2.0**-20
 
 
 def cap_share(cap, dim: int):
@@ -242,17 +248,24 @@ def _first_shared(a: np.ndarray, b: np.ndarray, here: int) -> np.ndarray:
     return out
 
 
-def _compare(cosine: float):
+def margin(dim: int, grid: float = GRID) -> float:
+    """How far the cosines of two cells' vectors may lie from that of the compared ones."""
+    return 2 * grid * math.sqrt(dim) + 1e-12
+
+
+def _compare(cosine: float, grid: float):
     def links(table: pa.Table) -> pa.Table:
         here = table.column("filter")[0].as_py()
         left_part, right_part = (table.column(c)[0].as_py() for c in ("i", "j"))
         part = table.column("part").to_numpy()
         ids = table.column("class").to_numpy()
         weight = table.column("weight").to_numpy()
+        mixed = table.column("mixed").to_numpy(zero_copy_only=False)
+        vectors = table.column("embedding").combine_chunks()
         filters = padded(table.column("filters"))
         counts = np.zeros(len(ids), np.int64)
         up = np.arange(len(ids))
-        edges = []
+        edges, unsure = [], []
 
         def root(i):
             while up[i] != i:
@@ -265,12 +278,25 @@ def _compare(cosine: float):
             left, right, x, y = rows[on_left], rows[on_right], unit[on_left], unit[on_right]
             if not len(left) or not len(right):
                 continue
-            a, b = np.nonzero(x @ y.T >= cosine)
+            scores = x @ y.T
+            near = scores >= cosine
+            if mixed[left].any() or mixed[right].any():
+                wide = margin(x.shape[1], grid)
+                open_ = np.abs(scores - cosine) <= wide
+                open_ &= mixed[left][:, None] | mixed[right][None, :]
+                near |= open_
+            else:
+                open_ = None
+            a, b = np.nonzero(near)
             if left_part == right_part:
                 a, b = a[a < b], b[a < b]
-            a, b = left[a], right[b]
-            once = _first_shared(filters[a], filters[b], here)
+            once = _first_shared(filters[left[a]], filters[right[b]], here)
             a, b = a[once], b[once]
+            if open_ is not None:
+                asked = open_[a, b]
+                unsure += zip(left[a[asked]].tolist(), right[b[asked]].tolist())
+                a, b = a[~asked], b[~asked]
+            a, b = left[a], right[b]
             np.add.at(counts, a, weight[b])
             np.add.at(counts, b, weight[a])
             for i, j in zip(a.tolist(), b.tolist()):
@@ -279,17 +305,48 @@ def _compare(cosine: float):
                     up[q] = p
                     edges.append((int(ids[i]), int(ids[j])))
         some = np.flatnonzero(counts)
+        told = len(some) + len(edges)
+        sides = [
+            pa.concat_arrays([pa.nulls(told, vectors.type), vectors.take(pa.array(x, pa.int64()))])
+            for x in ([i for i, _ in unsure], [j for _, j in unsure])
+        ]
+        blank = [None] * len(unsure)
         return pa.table(
             {
-                "a": pa.array([*ids[some].tolist(), *(a for a, _ in edges)], pa.int64()),
-                "b": pa.array([None] * len(some) + [b for _, b in edges], pa.int64()),
-                "n": pa.array([*counts[some].tolist(), *[0] * len(edges)], pa.int64()),
+                "a": pa.array([*ids[some].tolist(), *(a for a, _ in edges), *blank], pa.int64()),
+                "b": pa.array([None] * len(some) + [b for _, b in edges] + blank, pa.int64()),
+                "n": pa.array([*counts[some].tolist(), *[0] * len(edges), *blank], pa.int64()),
+                "left": sides[0],
+                "right": sides[1],
             }
         )
 
     return links
 
 
+def cell(column: str, grid: float = GRID):
+    """The grid cell of the unit vector, as whole numbers."""
+    x = F.col(column).cast("array<double>")
+    peak = F.array_max(F.transform(x, F.abs))
+    x = F.transform(x, lambda c: c / peak)
+    norm = F.sqrt(F.aggregate(x, F.lit(0.0), lambda acc, c: acc + c * c))
+    return F.transform(x, lambda c: F.round(c / norm / grid).cast("int"))
+
+
+def _cosines(cosine: float):
+    def near(left: pa.Array, right: pa.Array) -> pa.Array:
+        out = np.zeros(len(left), bool)
+        one, two = dict(), dict()
+        for own, column in ((one, left), (two, right)):
+            for rows, unit in units(column):
+                own.update(zip(rows.tolist(), unit))
+        for k in one.keys() & two.keys():
+            out[k] = one[k] @ two[k] >= cosine
+        return pa.array(out)
+
+    return near
+
+
 def near_vectors(
     vectors: DataFrame,
     cosine: float = THRESHOLD,
@@ -298,6 +355,7 @@ def near_vectors(
     load: int = LOAD,
     slice_rows: int = SLICE,
     recall: float = RECALL,
+    grid: float = GRID,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per vector."""
     rows = durable(vectors.select("vec_id", "embedding"))
@@ -306,15 +364,24 @@ def near_vectors(
         " and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
         " and exists(embedding, x -> x != 0)"
     )
+    # equal vectors first, so that a cell has a row for each different one
+    members = durable(
+        usable.groupBy("embedding")
+        .agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"))
+        .withColumn("cell", cell("embedding", grid))
+    )
     classes = durable(
-        usable.groupBy("embedding").agg(
-            F.min("vec_id").alias("class"), F.count(F.lit(1)).alias("weight")
+        members.groupBy("cell").agg(
+            F.min("id").alias("class"),
+            F.sum("weight").alias("weight"),
+            F.min("embedding").alias("embedding"),
+            (F.min("embedding") != F.max("embedding")).alias("mixed"),
         )
     )
     n = classes.count()
     filters = arrow_udf(_filters_of(n, cosine, codes, shared, load, recall), "array<bigint>")
     # two classes may have one vec_id; they stay apart by their number of rows there
-    listed = durable(classes.withColumn("filters", filters("embedding")))
+    listed = durable(classes.drop("cell").withColumn("filters", filters("embedding")))
     ids = listed.select("class", F.explode("filters").alias("filter"))
     sizes = (
         ids.groupBy("filter")
@@ -328,31 +395,62 @@ def near_vectors(
         .withColumn("part", F.pmod(F.xxhash64("class", "embedding"), F.col("parts")))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
-        .select("filter", "i", "j", "part", "class", "weight", "embedding", "filters")
+        .select("filter", "i", "j", "part", "class", "weight", "mixed", "embedding", "filters")
     )
+    kind = rows.schema["embedding"].dataType.simpleString()
     # by all three, or every slice of a filter would meet in the task of its join
     found = durable(
         placed.repartition("filter", "i", "j").groupBy("filter", "i", "j").applyInArrow(
-            _compare(cosine), "a bigint, b bigint, n bigint"
+            _compare(cosine, grid), f"a bigint, b bigint, n bigint, left {kind}, right {kind}"
         )
     )
-    counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
-    joined = components(found.where("b is not null").select("a", "b"))
+    own_class = members.join(
+        classes.select("cell", "class", F.col("embedding").alias("shown")), "cell"
+    ).select("embedding", "id", F.col("weight").alias("own"), "class", "shown")
+    # pairs of classes that their shown vectors cannot settle, vector by vector
+    unsure = found.where("left is not null").select("left", "right").distinct()
+    both = (
+        unsure.join(_side(own_class, "a"), F.col("left") == F.col("a_shown"))
+        .join(_side(own_class, "b"), F.col("right") == F.col("b_shown"))
+        .where(arrow_udf(_cosines(cosine), "boolean")("a_vector", "b_vector"))
+    )
+    settled = durable(both.select("a_vector", "b_vector", "a_class", "b_class", "a_own", "b_own"))
+    more = (
+        settled.select(F.col("a_vector").alias("vector"), F.col("b_own").alias("n"))
+        .unionByName(settled.select(F.col("b_vector").alias("vector"), F.col("a_own").alias("n")))
+        .groupBy("vector")
+        .agg(F.sum("n").alias("more"))
+    )
+    edges = found.where("b is not null").select("a", "b")
+    edges = edges.unionByName(settled.select(F.col("a_class").alias("a"), F.col("b_class").alias("b")))
+    counts = found.where("a is not null and b is null").groupBy("a").agg(F.sum("n").alias("n"))
+    joined = components(edges)
     known = (
         classes.join(counts, F.col("class") == F.col("a"), "left")
         .join(joined, F.col("class") == F.col("id"), "left")
         .select(
-            F.col("embedding").alias("vector"),
+            "cell",
             (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
             F.coalesce("component_id", "class").alias("component_id"),
         )
     )
+    told = members.join(known, "cell").select(F.col("embedding").alias("vector"), "n_links", "component_id")
+    told = told.join(more, "vector", "left")
     same = F.col("vec_id").isNotNull() & (F.col("embedding") == F.col("vector"))
-    out = rows.join(known, same, "left")
+    out = rows.join(told, same, "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
     return out.select(
         "vec_id",
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        (F.coalesce("n_links", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n_links"),
         component.alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def _side(members: DataFrame, name: str) -> DataFrame:
+    return members.select(
+        F.col("embedding").alias(f"{name}_vector"),
+        F.col("own").alias(f"{name}_own"),
+        F.col("class").alias(f"{name}_class"),
+        F.col("shown").alias(f"{name}_shown"),
+    )

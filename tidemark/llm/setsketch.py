@@ -24,7 +24,8 @@ by its registers, or both documents are in one component already.
 
 Defined cases: a null or empty text has no shingles and no links; a text of fewer words
 than a shingle is one shingle; a null doc_id has no links; rows that share a doc_id give
-a row each and are one document in links, which has the links of all its texts.
+a row each and are one document in links, which has the links of all its texts. Ids are
+whole numbers; others fail the query.
 """
 
 from __future__ import annotations
