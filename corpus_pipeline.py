@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import lines, packing, rules, secrets, setsketch
 from tidemark.llm.queries import ship, table, vocabulary
-from tidemark.plans import durable
+from tidemark.plans import durable, release, written
 
 
 def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -69,10 +69,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written before the next reads it."""
+    """All stages over ``documents``, each written before the next reads it.
+
+    Once a stage is written, the tables that went into it are deleted.
+    """
     docs = table(spark, sf_dir, "documents")
+    kept = set(written())  # tables of others
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = durable(docs)
+            *inner, _ = (path for path in written() if path not in kept)
+            release(spark, *inner) if inner else None
     return docs

@@ -258,16 +258,15 @@ def concentration(
     value = F.col(measure)
     total = F.sum(value)
 
-    def at(i: int) -> Column:
-        return F.get(F.filter("_b._order", lambda b: b["i"] == i), F.lit(0))
-
-    def top(border):
-        return percent(F.sum(F.when(~is_after(border, "_order", key), value)), total, 2)
+    def top(i: int) -> Column:
+        beyond = F.expr(is_after(f"get(filter(_b._order, b -> b.i = {i}), 0)", "_order", key))
+        return percent(F.sum(F.when(~beyond, value)), total, 2)
 
+    third = F.expr("get(filter(_b._order, b -> b.i = 3), 0).value")
     return rows.select("*", F.inline(F.array(F.struct(borders.alias("_b"))))).agg(
-        top(at(1)).alias("top_decile_pct"),
-        percent(F.sum(F.when(F.col("_order") <= at(3)["value"], value)), total, 2).alias("top_15_pct"),
-        top(at(2)).alias("top_20_pct"),
+        top(1).alias("top_decile_pct"),
+        percent(F.sum(F.when(F.col("_order") <= third, value)), total, 2).alias("top_15_pct"),
+        top(2).alias("top_20_pct"),
     )
 
 

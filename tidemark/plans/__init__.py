@@ -1,6 +1,6 @@
 from tidemark.plans.borders import border_rows, is_after, sortable, tile_ends, with_tiles
 from tidemark.plans.calendars import date_series, dense
-from tidemark.plans.durable import durable, release, scratch_path
+from tidemark.plans.durable import durable, release, scratch_path, written
 from tidemark.plans.joins import null_safe_join
 from tidemark.plans.quantiles import exact_quantiles, value_counts
 from tidemark.plans.ranking import global_rank
@@ -22,4 +22,5 @@ __all__ = [
     "tile_ends",
     "value_counts",
     "with_tiles",
+    "written",
 ]

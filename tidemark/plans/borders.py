@@ -44,10 +44,11 @@ def sortable(df: DataFrame, *columns: str) -> bool:
     return all(isinstance(df.schema[c].dataType, (T.NumericType, T.DateType)) for c in columns)
 
 
-def _number(column, kind: T.DataType) -> Column:
-    """An order-preserving double; two values may share it."""
-    x = F.unix_date(column) if isinstance(kind, T.DateType) else column
-    return x.cast("double")
+def _number(column: str, kind: T.DataType) -> str:
+    """An order-preserving double, NULL first; two values may share it. As SQL, like all
+    functions on arrays here: built call by call they take longer than they run."""
+    x = f"unix_date(`{column}`)" if isinstance(kind, T.DateType) else f"`{column}`"
+    return f"coalesce(cast({x} AS DOUBLE), double('-infinity'))"
 
 
 def tile_ends(buckets: int) -> list[Spot]:
@@ -66,15 +67,11 @@ def border_rows(rows: DataFrame, values: list[str], key: str, spots: list[Spot])
     Values and key are numbers or dates (:func:`sortable`), keys unique. A spot's rank may
     differ from its share of the rows by a few.
     """
-    kinds = {v: rows.schema[v].dataType for v in (*values, key)}
+    number = {v: _number(v, rows.schema[v].dataType) for v in (*values, key)}
 
-    def number(v: str) -> Column:
-        # NULL comes first
-        return F.coalesce(_number(F.col(v), kinds[v]), F.lit(float("-inf")))
-
-    def sketch(column: Column, shares: list[float]) -> Column:
-        asked = F.expr(f"array({', '.join(f'{s!r}D' for s in shares)})")
-        return F.percentile_approx(column, asked, ACCURACY)
+    def sketch(column: str, shares: list[float]) -> Column:
+        asked = ", ".join(f"{s!r}D" for s in shares)
+        return F.expr(f"percentile_approx({number[column]}, array({asked}), {ACCURACY})")
 
     # 1. brackets of all borders of all values, and bins of keys, in one aggregation
     shares = sorted(share for share, _ in spots)
@@ -83,41 +80,31 @@ def border_rows(rows: DataFrame, values: list[str], key: str, spots: list[Spot])
     marks = rows.agg(
         F.struct(
             F.count(F.lit(1)).alias("_n"),
-            sketch(number(key), [b / BINS for b in range(1, BINS)]).alias("_bins"),
-            *(sketch(number(v), lows).alias(f"_low_{v}") for v in values),
-            *(sketch(number(v), highs).alias(f"_high_{v}") for v in values),
+            sketch(key, [b / BINS for b in range(1, BINS)]).alias("_bins"),
+            *(sketch(v, lows).alias(f"_low_{v}") for v in values),
+            *(sketch(v, highs).alias(f"_high_{v}") for v in values),
         )
     ).scalar()
     marked = _attached(rows, marks)
     # a margin of few rows is no margin: then all rows are inside
-    narrow = F.col("_n") * _MARGIN >= 2 * len(spots) + 12
-
-    def bin_of_key() -> Column:
-        k = number(key)
-        return F.when(narrow, F.size(F.filter("_bins", lambda b: b < k))).otherwise(0)
+    narrow = f"_n * {_MARGIN!r}D >= {2 * len(spots) + 12}"
+    bin_of_key = f"if({narrow}, size(filter(_bins, b -> b < {number[key]})), 0)"
 
     # 2. counts of the gaps, and of each value and bin inside a bracket
-    cells = []
-    for v in values:
-        x = number(v)
-        within = F.exists(
-            F.arrays_zip(f"_low_{v}", f"_high_{v}"), lambda b: x.between(b[f"_low_{v}"], b[f"_high_{v}"])
-        )
-        inside = F.when(narrow, within).otherwise(True)
-        below = F.size(F.filter(f"_high_{v}", lambda h: h < x))
-        own = F.struct(*(F.when(inside & F.lit(v == o), F.col(o)).alias(o) for o in values))
-        cells.append(
-            F.struct(
-                F.lit(v).alias("name"),
-                x.alias("x"),
-                own.alias("value"),
-                F.when(~inside, below).alias("gap"),
-                F.when(inside, bin_of_key()).alias("bin"),
-            )
+    def cell_of(v: str) -> str:
+        x, low, high = number[v], f"`_low_{v}`", f"`_high_{v}`"
+        within = f"exists(arrays_zip({low}, {high}), b -> {x} BETWEEN b.{low} AND b.{high})"
+        inside = f"if({narrow}, {within}, true)"
+        own = ", ".join(f"'{o}', if({inside} AND '{o}' = '{v}', `{o}`, NULL)" for o in values)
+        return (
+            f"named_struct('name', '{v}', 'x', {x}, 'value', named_struct({own}), "
+            f"'gap', if({inside}, NULL, size(filter({high}, h -> h < {x}))), "
+            f"'bin', if({inside}, {bin_of_key}, NULL))"
         )
+
     cell = ["name", "gap", "value", "bin"]
     counted = (
-        marked.select("_n", F.inline(F.array(*cells)))
+        marked.select("_n", F.expr(f"inline(array({', '.join(map(cell_of, values))}))"))
         .groupBy(*cell)
         .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x"), F.max("_n").alias("rows"))
     )
@@ -130,14 +117,12 @@ def border_rows(rows: DataFrame, values: list[str], key: str, spots: list[Spot])
             for i, (_, rank) in enumerate(spots, start=1)
         )
     )
-    here = F.filter(
-        wanted, lambda t: (t["at"] > F.col("upto") - F.col("n")) & (t["at"] <= F.col("upto"))
-    )
+    here = "filter(wanted, t -> t.at > upto - n AND t.at <= upto)"
     # a border between brackets would contradict the sketch's guarantee
     lost = F.raise_error(F.lit("a border lies outside its bracket")).cast("int")
     found = (
-        counted.select(*cell, "n", "rows", F.sum("n").over(in_order).alias("upto"))
-        .select(*cell, "n", "upto", F.explode(here).alias("t"))
+        counted.select(*cell, "n", wanted.alias("wanted"), F.sum("n").over(in_order).alias("upto"))
+        .select(*cell, "n", "upto", F.expr(f"explode({here})").alias("t"))
         .agg(
             F.collect_list(
                 F.struct(
@@ -154,16 +139,14 @@ def border_rows(rows: DataFrame, values: list[str], key: str, spots: list[Spot])
     )
 
     # 3. the keys of the rows in the borders' cells, in order
-    def of_row(v: str):
-        return lambda spot: (
-            (spot["name"] == v) & spot["value"][v].eqNullSafe(F.col(v)) & (spot["bin"] == bin_of_key())
-        )
-
-    owned = F.flatten(F.array(*(F.filter("_spots", of_row(v)) for v in values)))
+    owned = ", ".join(
+        f"filter(_spots, s -> s.name = '{v}' AND s.value.`{v}` <=> `{v}` AND s.bin = {bin_of_key})"
+        for v in values
+    )
     by_key = Window.partitionBy("name", "i").orderBy(F.col("key").asc_nulls_first())
     last = (
         _attached(marked, found)
-        .select(F.col(key).alias("key"), F.inline(owned))
+        .select(F.col(key).alias("key"), F.expr(f"inline(flatten(array({owned})))"))
         .groupBy("name", "i", "value", "at", "key")
         .agg(F.count(F.lit(1)).alias("n"))
         .select("name", "i", "value", "at", "key", "n", F.sum("n").over(by_key).alias("upto"))
@@ -184,14 +167,14 @@ def _attached(rows: DataFrame, struct: Column) -> DataFrame:
     return rows.select("*", F.inline(F.array(struct)))
 
 
-def is_after(border, value: str, key: str) -> Column:
-    """Whether the row comes after a border row."""
+def is_after(border: str, value: str, key: str) -> str:
+    """SQL of whether the row comes after a border row."""
 
-    def higher(column, than):
-        return F.when(than.isNull(), F.col(column).isNotNull()).otherwise(F.col(column) > than)
+    def higher(column: str, than: str) -> str:
+        return f"coalesce(if({than} IS NULL, {column} IS NOT NULL, {column} > {than}), false)"
 
-    tied = border["value"].eqNullSafe(F.col(value)) & higher(key, border["key"])
-    return F.coalesce(higher(value, border["value"]), F.lit(False)) | F.coalesce(tied, F.lit(False))
+    tied = f"{border}.value <=> `{value}` AND {higher(f'`{key}`', f'{border}.key')}"
+    return f"({higher(f'`{value}`', f'{border}.value')} OR {tied})"
 
 
 def with_tiles(
@@ -202,12 +185,13 @@ def with_tiles(
     values = list(tiles.values())
     if sortable(rows, key, *values):
 
-        def passed(v: str) -> Column:
-            return F.size(F.filter(F.col("_b")[v], lambda b: is_after(b, v, key)))
-
         borders = border_rows(rows, values, key, tile_ends(buckets))
         return _attached(rows, F.struct(borders.alias("_b"))).select(
-            *rows.columns, *((passed(v) + 1).cast("long").alias(name) for name, v in tiles.items())
+            *rows.columns,
+            *(
+                F.expr(f"CAST(size(filter(_b.`{v}`, b -> {is_after('b', v, key)})) + 1 AS BIGINT)").alias(name)
+                for name, v in tiles.items()
+            ),
         )
     for name, v in tiles.items():
         ranked = global_rank(rows, [F.asc(v), F.asc(key)], "_rank", "_rows", slices)

@@ -47,6 +47,11 @@ def release(spark: SparkSession, *paths: str) -> int:
     return count
 
 
+def written() -> list[str]:
+    """The tables of this process that are not released, oldest first."""
+    return list(_written)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` written once as a table in the checkpoint folder, and read back.
 
