@@ -10,7 +10,7 @@ from tests.conftest import SMALL
 from tests.llm.test_llm_duplicates import reachable, wide_shingles, without_repeats
 from tests.llm.test_llm_texts import base_spans, check_packing
 from tidemark.llm import counting, packing, rules, secrets
-from tidemark.plans import durable
+from tidemark.plans import durable, written
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -82,7 +82,11 @@ def test_all_tokens_are_packed(stages):
 
 
 def test_run_gives_the_last_stages_rows(spark, stages):
-    got = corpus_pipeline.run(spark, SMALL).collect()
+    mine, before = durable(spark.range(3)), set(written())
+    result = corpus_pipeline.run(spark, SMALL)
+    # the last stage reads the one before and what it has written itself
+    assert len(set(written()) - before) <= 3 and mine.count() == 3
+    got = result.collect()
     pieces = Counter((r.doc_id, r.piece, r.length) for r in got)
     assert pieces == Counter((r.doc_id, r.piece, r.length) for r in stages[4][1])
 
