@@ -325,12 +325,16 @@ def _compare(cosine: float, grid: float):
 
 
 def cell(column: str, grid: float = GRID):
-    """The grid cell of the unit vector, as whole numbers."""
-    x = F.col(column).cast("array<double>")
-    peak = F.array_max(F.transform(x, F.abs))
-    x = F.transform(x, lambda c: c / peak)
-    norm = F.sqrt(F.aggregate(x, F.lit(0.0), lambda acc, c: acc + c * c))
-    return F.transform(x, lambda c: F.round(c / norm / grid).cast("int"))
+    """The grid cell of the unit vector, as whole numbers; null where there is none."""
+
+    def find(vectors: pa.Array) -> pa.Array:
+        cells: list[np.ndarray | None] = [None] * len(vectors)
+        for rows, x in units(vectors):
+            for at, own in zip(rows, np.rint(x / grid).astype(np.int32)):
+                cells[at] = own
+        return pa.array(cells, pa.list_(pa.int32()))
+
+    return arrow_udf(find, "array<int>")(column)
 
 
 def _cosines(cosine: float):
