@@ -138,9 +138,7 @@ def rfm(
             total_money(amount).alias("monetary"),
         ).alias("b")
     )
-    # unpacked by a generator, the fold keeps all its columns in every reading, so that
-    # the readings can share its shuffle
-    buyers = folded.select("user_id", F.inline(F.array("b")))
+    buyers = _shared(folded, "user_id")
     by_spend = with_tiles(buyers, {"r": "_last", "m": "monetary"}, "user_id", buckets, slices)
     newest = buyers.agg(F.max("_last")).scalar()
     f = (
@@ -160,6 +158,16 @@ def rfm(
     )
 
 
+def _shared(folded: DataFrame, key: str) -> DataFrame:
+    """A fold (key, struct b), unpacked, that several readings of one plan share.
+
+    The finished fold is shuffled once more by its key, and readings begin there instead
+    of adding up the orders again. Unpacked by a generator, no reading can leave out
+    columns, which would make it a different shuffle.
+    """
+    return folded.repartition(key).select(key, F.inline(F.array("b")))
+
+
 def rfm_segments(scored: DataFrame) -> DataFrame:
     """Buyers, repeat buyers and revenue of each segment with their shares."""
     everything = Window.partitionBy()  # at most seven segments
@@ -210,12 +218,10 @@ def pareto(
 
     The cumulative share adds the *rounded* shares.
     """
-    buyers = (
-        orders.groupBy(user)
-        .agg(total_money(amount).alias("revenue"))
-        # highest first, without any amount last
-        .withColumn("_order", F.coalesce(-F.col("revenue"), F.lit(Decimal("9" * 28))))
-    )
+    folded = orders.groupBy(user).agg(F.struct(total_money(amount).alias("revenue")).alias("b"))
+    # highest first, without any amount last
+    last = F.coalesce(-F.col("revenue"), F.lit(Decimal("9" * 28)))
+    buyers = _shared(folded, user).withColumn("_order", last)
     ranked = with_tiles(buyers, {"decile": "_order"}, user, buckets, slices)
     everything = Window.partitionBy()
     upto = Window.orderBy("decile").rowsBetween(

@@ -35,7 +35,7 @@ from tidemark.plans.ranking import global_rank
 Spot = tuple[float, Callable[[Column], Column]]  # share of the rows, exact rank of n rows
 
 ACCURACY = 20_000  # of the sketches: ranks are known to one part in so many
-BINS = 256
+BINS = 64
 _MARGIN = 4.0 / ACCURACY  # how far on either side a bracket reaches
 
 
@@ -81,8 +81,8 @@ def border_rows(rows: DataFrame, values: list[str], key: str, spots: list[Spot])
         F.struct(
             F.count(F.lit(1)).alias("_n"),
             sketch(key, [b / BINS for b in range(1, BINS)]).alias("_bins"),
-            *(sketch(v, lows).alias(f"_low_{v}") for v in values),
-            *(sketch(v, highs).alias(f"_high_{v}") for v in values),
+            # one sketch of each column: all lower ends, then all upper ones
+            *(sketch(v, lows + highs).alias(f"_ends_{v}") for v in values),
         )
     ).scalar()
     marked = _attached(rows, marks)
@@ -91,20 +91,29 @@ def border_rows(rows: DataFrame, values: list[str], key: str, spots: list[Spot])
     bin_of_key = f"if({narrow}, size(filter(_bins, b -> b < {number[key]})), 0)"
 
     # 2. counts of the gaps, and of each value and bin inside a bracket
+    m = len(spots)
+    # the least place of a bracket whose upper end is not below the value: it is inside if
+    # the lower end is not above it (ends rise)
+    spotted = marked.select(
+        "*",
+        *(
+            F.expr(f"size(filter(slice(`_ends_{v}`, {m + 1}, {m}), h -> h < {number[v]}))").alias(f"_gap_{v}")
+            for v in values
+        ),
+    )
+
     def cell_of(v: str) -> str:
-        x, low, high = number[v], f"`_low_{v}`", f"`_high_{v}`"
-        within = f"exists(arrays_zip({low}, {high}), b -> {x} BETWEEN b.{low} AND b.{high})"
-        inside = f"if({narrow}, {within}, true)"
+        x, gap = number[v], f"`_gap_{v}`"
+        inside = f"if({narrow}, {gap} < {m} AND get(`_ends_{v}`, {gap}) <= {x}, true)"
         own = ", ".join(f"'{o}', if({inside} AND '{o}' = '{v}', `{o}`, NULL)" for o in values)
         return (
             f"named_struct('name', '{v}', 'x', {x}, 'value', named_struct({own}), "
-            f"'gap', if({inside}, NULL, size(filter({high}, h -> h < {x}))), "
-            f"'bin', if({inside}, {bin_of_key}, NULL))"
+            f"'gap', if({inside}, NULL, {gap}), 'bin', if({inside}, {bin_of_key}, NULL))"
         )
 
     cell = ["name", "gap", "value", "bin"]
     counted = (
-        marked.select("_n", F.expr(f"inline(array({', '.join(map(cell_of, values))}))"))
+        spotted.select("_n", F.expr(f"inline(array({', '.join(map(cell_of, values))}))"))
         .groupBy(*cell)
         .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x"), F.max("_n").alias("rows"))
     )
