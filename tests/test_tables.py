@@ -3,6 +3,7 @@
 import json
 import math
 import random
+import re
 from datetime import datetime
 from pathlib import Path
 
@@ -376,6 +377,47 @@ def test_findings_blame_the_flagged_week(make):
     assert "nulls" not in got and "cardinality" not in got
 
 
+def test_findings_move_row_hashes_on_their_own(spark):
+    """Once, by hash; only counted numbers are put in order."""
+    before = executions(spark)
+    df = spark.range(1000).selectExpr("id % 7 AS x", "id % 3 AS g", "date_add(DATE'2024-01-01', int(id % 90)) AS t", "id")
+    rows(profile.profile_findings(df, ["x"], ["id", "g"], "x", ["g"], "t"))
+    dealt = [
+        (kind, re.findall(r"(\w+)#", keys))
+        for plan in (p for k, p in executions(spark).items() if k not in before)
+        for kind, keys in re.findall(r"(hash|range)partitioning\((.*)\)", plan)
+    ]
+    assert ("hash", ["h1", "h2"]) in dealt
+    assert all(keys == ["h1", "h2"] for _, keys in dealt if "h1" in keys)
+    assert {tuple(keys) for kind, keys in dealt if kind == "range"} == {("column_name", "x")}
+
+
+def test_findings_of_columns_with_any_name(make):
+    """Also columns in several parts, and limits that all columns meet."""
+    df = make(
+        "h1 DOUBLE, week DATE, n STRING, kind STRING",
+        [(1.0, "2024-01-01", "a", None), (3.0, "2024-01-02", None, None), (5.0, "2024-01-08", "a", "k"),
+         (None, "2024-01-09", "b", "k"), (8.0, "2024-01-10", "a", "k"), (8.0, "2024-01-10", "a", "k")],
+    )
+    limits = {"null_share_pct": 0, "cardinality": 1, "outlier_share_pct": 101, "skew": 9}
+    found = profile.profile_findings(df, ["h1"], ["n", "kind"], "h1", ["n", "kind"], "week", limits)
+    assert sorted(rows(found), key=str) == [
+        ("INFO", "cardinality", "n", 2.0, None),
+        ("INFO", "segment_gap", "kind", 3.5, None),
+        ("INFO", "segment_gap", "n", 1.8333, None),
+        ("WARN", "duplicates", "rows", 1.0, None),
+        ("WARN", "nulls", "h1", 16.7, None),
+        ("WARN", "nulls", "kind", 33.3, None),
+        ("WARN", "nulls", "n", 16.7, None),
+        ("WARN", "weekly_jump", "2024-01-14", 425.0, "behaviour"),
+    ]
+    counted = profile.profile_findings(df, [], [], ts="week", thresholds={"null_share_pct": 50})
+    assert sorted(rows(counted), key=str) == [
+        ("WARN", "duplicates", "rows", 1.0, None),
+        ("WARN", "weekly_jump", "2024-01-14", 100.0, "flow"),
+    ]
+
+
 # ---------------------------------------------------------- sources and sinks
 
 
